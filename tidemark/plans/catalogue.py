@@ -339,12 +339,14 @@ def quality_gate(spark, sf):
 
 
 # ================================================================== profile
-def _li_reference(spark, sf):
-    return ds.window(ds.lineitem_labelled(spark, sf), REFERENCE)
+def _li_windows(spark, sf):
+    """(reference, new) lineitem windows over one materialized labelled table."""
+    lab = ds.lineitem_labelled(spark, sf, materialized=True)
+    return ds.window(lab, REFERENCE), ds.window(lab, NEW)
 
 
-def _li_new(spark, sf):
-    return ds.window(ds.lineitem_labelled(spark, sf), NEW)
+def _li_reference(spark, sf):
+    return ds.window(ds.lineitem_labelled(spark, sf, materialized=True), REFERENCE)
 
 
 @query("quantile_edges", _with(LI_CTE, drift_cte(LI_LONG)) + """
@@ -359,8 +361,9 @@ def quantile_edges(spark, sf):
 SELECT feature, bin, lower, upper, n_new AS n FROM dense""")
 def bin_counts(spark, sf):
     """Dense histogram of the new window on the reference bins."""
-    edges = P.quantile_edges(_li_reference(spark, sf), LFEATS)
-    return P.bin_counts(_li_new(spark, sf), LFEATS, edges).withColumnRenamed("count", "n")
+    ref, new = _li_windows(spark, sf)
+    edges = P.quantile_edges(ref, LFEATS)
+    return P.bin_counts(new, LFEATS, edges).withColumnRenamed("count", "n")
 
 
 @query("baseline_profile", _with(LI_CTE, drift_cte(LI_LONG)) + """
@@ -376,21 +379,22 @@ def baseline_profile(spark, sf):
 SELECT feature, round(psi, 6) AS psi, bins FROM psi""")
 def psi_by_feature(spark, sf):
     """PSI of the new window against the reference profile, all features."""
-    profile = P.baseline_profile(_li_reference(spark, sf), LFEATS)
-    return round_doubles(D.psi(_li_new(spark, sf), LFEATS, profile))
+    ref, new = _li_windows(spark, sf)
+    profile = P.baseline_profile(ref, LFEATS)
+    return round_doubles(D.psi(new, LFEATS, profile))
 
 
 @query("ks_by_feature", _with(LI_CTE, drift_cte(LI_LONG)) + """
 SELECT feature, round(ks, 6) AS ks FROM ks""")
 def ks_by_feature(spark, sf):
     """A10: exact two-sample KS statistic, reference vs new, all features."""
-    labelled = ds.lineitem_labelled(spark, sf)
+    labelled = ds.lineitem_labelled(spark, sf, materialized=True)
     long = P.to_long(labelled, LFEATS, keep=["window"]).withColumnRenamed("window", "side")
     return round_doubles(D.ks_from_long(long, a=REFERENCE, b=NEW))
 
 
 def _trip_report(spark, sf, factors=None, digits=4):
-    s = ds.silver(spark, sf)
+    s = ds.silver(spark, sf, materialized=True)
     ref, new = ds.window(s, REFERENCE), ds.window(s, NEW)
     if factors:
         new = D.scale_columns(new, factors)
@@ -742,7 +746,7 @@ WHERE n.n_rows >= 30"""
 def request_drift(spark, sf):
     """R2 + G4: drift of the last 1440 minutes of traffic against the training
     profile (PSI) and the stored baseline sample (KS), only with >= 30 records."""
-    ref = ds.reference(spark, sf)
+    ref = ds.reference(spark, sf, materialized=True)
     profile = P.baseline_profile(ref, TFEATS)
     sample = P.sample_values(ref.withColumn("_k", F.unix_micros("pickup_ts")), TFEATS, ["_k"])
     log = ds.request_log(spark, sf)

@@ -21,7 +21,7 @@ from tidemark.sources.adapters import (
     trips_from_events,
     trips_with_copies,
 )
-from tidemark.sources.tables import read_parquet_table
+from tidemark.sources.tables import materialize, read_parquet_table
 
 FEATURES = list(TRIP_FEATURES)
 TARGET = TRIP_TARGET
@@ -54,10 +54,21 @@ def trips(spark: SparkSession, sf_dir: str, copies: bool = False) -> DataFrame:
     return trips_with_copies(events) if copies else trips_from_events(events)
 
 
-def silver(spark: SparkSession, sf_dir: str, copies: bool = True) -> DataFrame:
-    """Typed, cleaned, de-duplicated, labelled trips (exact 0.7 time cutoff)."""
+def silver(spark: SparkSession, sf_dir: str, copies: bool = True,
+           materialized: bool = False) -> DataFrame:
+    """Typed, cleaned, de-duplicated, labelled trips (exact 0.7 time cutoff).
+
+    `materialized=True` checkpoints it, as the silver job writes it to a table:
+    for plans that read silver in several branches (reference and new window,
+    edges, bins, KS).
+    """
     spec = trip_spec()
-    return label_windows(clean(trips(spark, sf_dir, copies), spec), spec.time_column)
+    cleaned = clean(trips(spark, sf_dir, copies), spec)
+    if not materialized:
+        return label_windows(cleaned, spec.time_column)
+    # distinct rows once (the cutoff and the labels both read them), then the
+    # labelled table once (every downstream branch reads it)
+    return materialize(label_windows(materialize(cleaned), spec.time_column))
 
 
 def window(df: DataFrame, label: str) -> DataFrame:
@@ -76,17 +87,19 @@ def with_split(df: DataFrame) -> DataFrame:
                          .otherwise(F.lit("test")))
 
 
-def reference(spark, sf_dir):
-    return window(silver(spark, sf_dir), REFERENCE)
+def reference(spark, sf_dir, materialized: bool = False):
+    return window(silver(spark, sf_dir, materialized=materialized), REFERENCE)
 
 
-def new(spark, sf_dir):
-    return window(silver(spark, sf_dir), NEW)
+def new(spark, sf_dir, materialized: bool = False):
+    return window(silver(spark, sf_dir, materialized=materialized), NEW)
 
 
-def lineitem_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lineitem_labelled(spark: SparkSession, sf_dir: str, materialized: bool = False
+                      ) -> DataFrame:
     src = lineitem_drift_source(table(spark, sf_dir, "lineitem"))
-    return label_windows(src, "ship_ts")
+    out = label_windows(src, "ship_ts")
+    return materialize(out) if materialized else out
 
 
 def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,3 +40,18 @@ def overwrite_table(df: DataFrame, name: str, partition_by: Sequence[str] = (),
 def append_table(df: DataFrame, name: str) -> None:
     """Append rows; columns are matched by name."""
     df.write.mode("append").saveAsTable(name)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage of an intermediate that several branches of a plan read.
+
+    A reliable `checkpoint()` into the shared folder named by
+    `spark.checkpoint.dir` (set by the cluster; only local runs get a scratch
+    folder). The data survives executor loss, and the downstream plan shrinks
+    to a scan of the checkpoint instead of carrying the whole upstream plan
+    (and its subqueries) into every branch.
+    """
+    from tidemark.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
