@@ -55,12 +55,13 @@ def trips(spark: SparkSession, sf_dir: str, copies: bool = False) -> DataFrame:
 
 
 def silver(spark: SparkSession, sf_dir: str, copies: bool = True,
-           materialized: bool = False) -> DataFrame:
+           materialized: bool = True) -> DataFrame:
     """Typed, cleaned, de-duplicated, labelled trips (exact 0.7 time cutoff).
 
-    `materialized=True` checkpoints it, as the silver job writes it to a table:
-    for plans that read silver in several branches (reference and new window,
-    edges, bins, KS).
+    Materialized (default) like the silver job's table: the distinct rows are
+    checkpointed once (the cutoff and the labels both read them), then the
+    labelled rows (every downstream branch reads them), so the raw source is
+    scanned and parsed once per query.
     """
     spec = trip_spec()
     cleaned = clean(trips(spark, sf_dir, copies), spec)
@@ -87,15 +88,15 @@ def with_split(df: DataFrame) -> DataFrame:
                          .otherwise(F.lit("test")))
 
 
-def reference(spark, sf_dir, materialized: bool = False):
+def reference(spark, sf_dir, materialized: bool = True):
     return window(silver(spark, sf_dir, materialized=materialized), REFERENCE)
 
 
-def new(spark, sf_dir, materialized: bool = False):
+def new(spark, sf_dir, materialized: bool = True):
     return window(silver(spark, sf_dir, materialized=materialized), NEW)
 
 
-def lineitem_labelled(spark: SparkSession, sf_dir: str, materialized: bool = False
+def lineitem_labelled(spark: SparkSession, sf_dir: str, materialized: bool = True
                       ) -> DataFrame:
     src = lineitem_drift_source(table(spark, sf_dir, "lineitem"))
     out = label_windows(src, "ship_ts")
