@@ -100,7 +100,15 @@ def lineitem_labelled(spark: SparkSession, sf_dir: str, materialized: bool = Tru
                       ) -> DataFrame:
     src = lineitem_drift_source(table(spark, sf_dir, "lineitem"))
     out = label_windows(src, "ship_ts")
-    return materialize(out) if materialized else out
+    if not materialized:
+        return out
+    # no shuffle precedes the checkpoint, so it would keep the scan's split count
+    return materialize(out if src.rdd.getNumPartitions() >= _parallelism(spark)
+                       else out.repartition(_parallelism(spark)))
+
+
+def _parallelism(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
 
 
 def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:

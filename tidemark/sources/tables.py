@@ -55,3 +55,16 @@ def materialize(df: DataFrame) -> DataFrame:
 
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin an input that has fewer partitions than the session's default
+    parallelism (a file stored as one row group scans as one task).
+
+    The check is on the scan's planned splits (no job). On a cluster reading
+    many files the input already has more partitions and nothing is added.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
