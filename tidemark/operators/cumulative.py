@@ -45,7 +45,13 @@ def running_totals(counts: DataFrame, group_cols: Sequence[str], value_col: str,
     value = F.col(value_col)
 
     probs = [i / buckets for i in range(1, buckets)]
-    edge_expr = F.array_distinct(F.percentile_approx(value, probs, EDGE_ACCURACY))
+    # The guard is always true (every distinct value has a positive weight), but it
+    # makes the edge aggregate read the weights too, so column pruning leaves the
+    # counts' aggregation identical in both branches and Spark reuses its exchange
+    # instead of scanning the input again for the edges.
+    total_weight = sum((F.col(w) for w in weight_cols[1:]), F.col(weight_cols[0]))
+    guarded = F.when(total_weight > 0, value)
+    edge_expr = F.array_distinct(F.percentile_approx(guarded, probs, EDGE_ACCURACY))
     if keys:
         edges = counts.groupBy(*keys).agg(edge_expr.alias("_edges"))
         with_edges = counts.join(_maybe_broadcast(edges, groups_bounded), keys)

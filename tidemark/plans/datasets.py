@@ -102,13 +102,18 @@ def lineitem_labelled(spark: SparkSession, sf_dir: str, materialized: bool = Tru
     out = label_windows(src, "ship_ts")
     if not materialized:
         return out
-    # no shuffle precedes the checkpoint, so it would keep the scan's split count
-    return materialize(out if src.rdd.getNumPartitions() >= _parallelism(spark)
-                       else out.repartition(_parallelism(spark)))
-
-
-def _parallelism(spark: SparkSession) -> int:
-    return spark.sparkContext.defaultParallelism
+    # no shuffle precedes the checkpoint: spread a single-split scan first so the
+    # checkpoint (and every query reading it) is not one task
+    # (the check looks at the scan alone, which plans without running a job)
+    want = _spread_target(src)
+    return materialize(out.repartition(want) if want else out)
+
+
+def _spread_target(src: DataFrame) -> int | None:
+    """Default parallelism when the scan has fewer splits than that, else None."""
+    from tidemark.session import default_parallelism, planned_partitions
+    have, want = planned_partitions(src), default_parallelism(src.sparkSession)
+    return want if have is not None and want is not None and have < want else None
 
 
 def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -53,13 +53,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the shared checkpoint folder named by the cluster.
 
-    `spark.checkpoint.dir` is read from the session. Only when it is unset (local
-    tests) is a fresh scratch folder created and registered.
+    `spark.checkpoint.dir` is read from the session. Only when it is unset on a
+    local master (tests, the benchmark) is a fresh scratch folder created and
+    registered; on a cluster an unset folder is an error. Sessions without a
+    SparkContext (Spark Connect) keep the server's setting.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the folder
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -71,3 +76,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def default_parallelism(spark: SparkSession) -> int | None:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - Spark Connect
+        return None
+
+
+def planned_partitions(df) -> int | None:
+    """Partitions of a plan without a shuffle (e.g. a scan); no job is run."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - Spark Connect
+        return None

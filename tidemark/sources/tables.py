@@ -64,7 +64,10 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     The check is on the scan's planned splits (no job). On a cluster reading
     many files the input already has more partitions and nothing is added.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    from tidemark.session import default_parallelism, planned_partitions
+
+    target = min_partitions or default_parallelism(df.sparkSession)
+    have = planned_partitions(df)
+    if target and have is not None and have < target:
         return df.repartition(target)
     return df
