@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import drift as D
 from tidemark.operators import profile as P
-from tidemark.operators.clean import TRIP_FEATURES, clean, trip_spec
-from tidemark.operators.timeline import label_windows
+from tidemark.operators.clean import TRIP_FEATURES
+from tidemark.plans.datasets import build_silver
 from tidemark.sources.adapters import trips_from_events
 
 
@@ -85,8 +85,7 @@ def test_ks_matches_numpy_and_bounds(spark):
 
 
 def test_report_on_test_events_matches_fixture_values(spark, events_check):
-    spec = trip_spec()
-    s = label_windows(clean(trips_from_events(events_check), spec), spec.time_column)
+    s = build_silver(trips_from_events(events_check))
     ref, new = s.filter("window = 'reference'"), s.filter("window = 'new'")
     prof = P.baseline_profile(ref, TRIP_FEATURES)
     rep = {r["feature"]: r for r in
@@ -104,8 +103,7 @@ def test_report_on_test_events_matches_fixture_values(spark, events_check):
 
 
 def test_drift_is_independent_of_partitioning(spark, events_small):
-    spec = trip_spec()
-    s = label_windows(clean(trips_from_events(events_small), spec), spec.time_column)
+    s = build_silver(trips_from_events(events_small))
     outs = []
     for parts in (1, 4, 7):
         r = s.repartition(parts)

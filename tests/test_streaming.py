@@ -6,15 +6,14 @@ import tempfile
 from pyspark.sql import functions as F
 
 from tidemark.operators import profile as P
-from tidemark.operators.clean import TRIP_FEATURES, clean, trip_spec
-from tidemark.operators.timeline import label_windows
+from tidemark.operators.clean import TRIP_FEATURES
+from tidemark.plans.datasets import build_silver
 from tidemark.sources.adapters import request_log_from_events, trips_from_events
 from tidemark.streaming.request_bins import start_request_drift_stream, window_psi
 
 
 def test_stream_matches_batch_bins(spark, events_small):
-    spec = trip_spec()
-    silver = label_windows(clean(trips_from_events(events_small), spec), spec.time_column)
+    silver = build_silver(trips_from_events(events_small))
     profile = P.baseline_profile(silver.filter("window = 'reference'"), TRIP_FEATURES)
     from tidemark.sources.tables import materialize
     profile = materialize(profile)

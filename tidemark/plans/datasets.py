@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.exprs import hash_bucket, row_hash
 from tidemark.operators.clean import TRIP_FEATURES, TRIP_TARGET, clean, trip_spec
 from tidemark.operators.scoring import LinearModel
-from tidemark.operators.timeline import NEW, REFERENCE, label_windows
+from tidemark.operators.timeline import DEFAULT_FRACTION, NEW, REFERENCE, label_windows
 from tidemark.sources.adapters import (
     LINEITEM_FEATURES,
     lineitem_drift_source,
@@ -54,22 +54,26 @@ def trips(spark: SparkSession, sf_dir: str, copies: bool = False) -> DataFrame:
     return trips_with_copies(events) if copies else trips_from_events(events)
 
 
-def silver(spark: SparkSession, sf_dir: str, copies: bool = True,
-           materialized: bool = True) -> DataFrame:
-    """Typed, cleaned, de-duplicated, labelled trips (exact 0.7 time cutoff).
+def build_silver(source: DataFrame, fraction: float = DEFAULT_FRACTION, exact: bool = True,
+                 materialized: bool = True) -> DataFrame:
+    """Source trips → typed, cleaned, de-duplicated, labelled silver.
 
     Materialized (default) like the silver job's table: the distinct rows are
     checkpointed once (the cutoff and the labels both read them), then the
-    labelled rows (every downstream branch reads them), so the raw source is
-    scanned and parsed once per query.
+    labelled rows (every downstream branch reads them), so the source is
+    scanned and parsed once and downstream plans stay small.
     """
     spec = trip_spec()
-    cleaned = clean(trips(spark, sf_dir, copies), spec)
+    cleaned = clean(source, spec)
     if not materialized:
-        return label_windows(cleaned, spec.time_column)
-    # distinct rows once (the cutoff and the labels both read them), then the
-    # labelled table once (every downstream branch reads it)
-    return materialize(label_windows(materialize(cleaned), spec.time_column))
+        return label_windows(cleaned, spec.time_column, fraction, exact)
+    return materialize(label_windows(materialize(cleaned), spec.time_column, fraction, exact))
+
+
+def silver(spark: SparkSession, sf_dir: str, copies: bool = True,
+           materialized: bool = True) -> DataFrame:
+    """Silver of the trips adapter (exact 0.7 time cutoff), see `build_silver`."""
+    return build_silver(trips(spark, sf_dir, copies), materialized=materialized)
 
 
 def window(df: DataFrame, label: str) -> DataFrame:
