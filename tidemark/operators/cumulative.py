@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import with_count_at_most
@@ -110,17 +110,21 @@ def exact_quantiles(values: DataFrame, group_cols: Sequence[str], value_col: str
     counts = present.groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("n"))
     cum = running_totals(counts, group_cols, value_col, ["n"], buckets, groups_bounded)
 
-    targets = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"))
-                        for i, p in enumerate(probs)])
-
-    def rank(t):
-        return F.greatest(F.lit(1).cast("bigint"),
-                          F.ceil(F.col("total_n").cast("double") * t["p"]))
-
-    hit = F.filter(targets, lambda t: (rank(t) > F.col("cum_n") - F.col("n"))
-                   & (rank(t) <= F.col("cum_n")))
+    hits = quantile_hits(F.col("total_n"), F.col("cum_n"), F.col("n"), probs)
     return (
-        cum.select(*group_cols, value_col, F.explode(hit).alias("_t"))
-        .select(*group_cols, F.col("_t.i").alias("p_index"), F.col("_t.p").alias("p"),
-                value_col)
+        cum.select(*group_cols, value_col, F.explode(hits).alias("p_index"))
+        .select(*group_cols, "p_index",
+                F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("p_index") + 1)
+                .alias("p"), value_col)
     )
+
+
+def quantile_hits(total: Column, cum: Column, n: Column, probs: Sequence[float]) -> Column:
+    """array<int> of the indices i whose discrete quantile probs[i] is this row's
+    value: max(1, ceil(total * p)) falls in (cum - n, cum]. One codegen'd
+    comparison pair per probability (no lambda); usually an empty array."""
+    def rank(p: float) -> Column:
+        return F.greatest(F.lit(1).cast("bigint"), F.ceil(total.cast("double") * F.lit(float(p))))
+
+    return F.array_compact(F.array(*[
+        F.when((rank(p) > cum - n) & (rank(p) <= cum), F.lit(i)) for i, p in enumerate(probs)]))

@@ -380,8 +380,8 @@ SELECT feature, round(psi, 6) AS psi, bins FROM psi""")
 def psi_by_feature(spark, sf):
     """PSI of the new window against the reference profile, all features."""
     ref, new = _li_windows(spark, sf)
-    profile = P.baseline_profile(ref, LFEATS)
-    return round_doubles(D.psi(new, LFEATS, profile))
+    rep = D.window_drift(ref, new, LFEATS, digits=None)
+    return round_doubles(rep.select("feature", "psi", "bins"))
 
 
 @query("ks_by_feature", _with(LI_CTE, drift_cte(LI_LONG)) + """
@@ -398,8 +398,7 @@ def _trip_report(spark, sf, factors=None, digits=4):
     ref, new = ds.window(s, REFERENCE), ds.window(s, NEW)
     if factors:
         new = D.scale_columns(new, factors)
-    profile = P.baseline_profile(ref, TFEATS)
-    return D.drift_report(ref, new, TFEATS, profile, digits=digits)
+    return D.window_drift(ref, new, TFEATS, digits=digits).select("feature", "psi", "ks", "status")
 
 
 _REPORT_SQL = """
