@@ -7,7 +7,7 @@ value), never a number pulled to the driver while the plan is being built.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import whole_seconds
@@ -57,6 +57,6 @@ def window_summary(df: DataFrame, label_col: str = "window", ts_col: str | None
     aggs += [F.sum(c).alias(f"sum_{c}") for c in sums]
     aggs += [F.avg(c).alias(f"avg_{c}") for c in means]
     per = df.groupBy(label_col).agg(*aggs)
-    from pyspark.sql import Window
+    # one row per label (at most three): the share needs no partitioning
     return per.withColumn(
         "share", F.col("n_rows") / F.sum("n_rows").over(Window.partitionBy()))
