@@ -1,7 +1,7 @@
 """Rules as data: a named boolean predicate per rule.
 
-One pass over the input yields kept rows, rejected rows with the names of the rules
-they broke, and per-rule counts, all from the same list of rules.
+One pass over the input yields kept rows and rejected rows with the names of the
+rules they broke, from the same list of rules.
 """
 
 from __future__ import annotations
@@ -43,8 +43,3 @@ def broken_rules(rules: Sequence[Rule]) -> Column:
 def broken_rules_text(rules: Sequence[Rule], sep: str = ";") -> Column:
     """Same as `broken_rules`, joined to one string ('' when none)."""
     return F.concat_ws(sep, *[F.when(~r.passed(), F.lit(r.name)) for r in rules])
-
-
-def reject_counts(rules: Sequence[Rule]) -> list[Column]:
-    """One `count_if(not passed)` aggregate per rule, aliased `rejected_<name>`."""
-    return [F.count_if(~r.passed()).alias(f"rejected_{r.name}") for r in rules]

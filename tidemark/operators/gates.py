@@ -49,14 +49,6 @@ def quality_counts(typed: DataFrame, rules: Sequence[Rule], key_cols: Sequence[s
                          dropped_ratio(F.col("rows_in"), F.col("rows_out")).alias("dropped_ratio"))
 
 
-def rule_rejects(typed: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """(rule, rejected): rows failing each rule (a row can fail several)."""
-    one = typed.agg(*[F.count_if(~r.passed()).alias(f"_r{i}") for i, r in enumerate(rules)])
-    pairs = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.col(f"_r{i}").alias("rejected"))
-                      for i, r in enumerate(rules)])
-    return one.select(F.inline(pairs))
-
-
 def quality_verdict(counts: DataFrame, min_rows: int = MIN_ROWS,
                     max_drop_ratio: float = MAX_DROP_RATIO) -> DataFrame:
     """Adds `too_few_rows`, `too_many_dropped`, `passed`, `dropped_ratio` rounded to 4."""
