@@ -34,7 +34,7 @@ CACHED_WORDS = 400_000  # per Python worker; the cache is emptied when it is ful
 WORD_END = "</w>"
 
 # The white space, and the contractions, of the tokenizer's own pattern.
-WHITE_SPACE = "\t-\r \x85\xa0  -     　"
+WHITE_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 # The same pattern for texts of the first 256 characters, where the classes are short.
 LATIN_LETTERS = "a-zªµºß-öø-ÿ"

@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe
+from tidemark.llm import (
+    bpe,
+    decontaminate,
+    language,
+    licenses,
+    neighbours,
+    quality,
+    simhash,
+    suffixdedup,
+    urls,
+)
 
-MODULES = [bpe]
+MODULES = [suffixdedup, urls, licenses, bpe, simhash, neighbours, language, decontaminate, quality]
 
 QUERIES = {name: q for m in MODULES for name, q in m.QUERIES.items()}
 ORACLE_SQL = {name: sql.strip() for m in MODULES for name, sql in m.ORACLE_SQL.items()}
