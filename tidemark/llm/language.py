@@ -3,6 +3,8 @@
 For each language a raw-content zstandard dictionary holds sample text of it. A text is
 encoded once with every dictionary; the language whose dictionary makes it smallest wins.
 A win by a narrow margin is rejected: the language is still named, `rejected` is true.
+What is encoded, of texts and dictionaries alike, is the whole text's words in lower case,
+a word that follows itself once: symbols, digits and repetitions tell no language.
 
 The dictionaries are learned from a bounded sample: per language the `PER_LANGUAGE`
 labelled rows with the smallest id hashes outside the held-out part, of texts up to
@@ -16,6 +18,7 @@ name. Very long texts are encoded whole. Repeated rows get equal results.
 from __future__ import annotations
 
 import math
+import re
 from dataclasses import dataclass
 
 import pandas as pd
@@ -27,10 +30,16 @@ from tidemark.llm.common import held_out, table
 PER_LANGUAGE = 80
 MAX_FIT_CHARS = 20_000
 DICTIONARY_BYTES = 96 << 10
-LEVEL = 3
+LEVEL = 6
 NARROW = 0.01  # margin, as a share of the second smallest size, below which to reject
 SHARPNESS = 0.25  # weight of one byte in the score
 UNDETERMINED = "und"
+_WORD = re.compile(r"[^\W\d_]+")
+
+
+def words_only(text: str) -> bytes:
+    words = _WORD.findall(text.lower())
+    return " ".join([w for w, before in zip(words, [None, *words]) if w != before]).encode()
 
 
 @dataclass(frozen=True)
@@ -55,7 +64,7 @@ class Dictionaries:
     def judge(self, text: str | None) -> tuple[str, float, bool]:
         if text is None or not self.samples or not any(map(str.isalpha, text)):
             return UNDETERMINED, 0.0, True
-        raw = text.lower().encode()
+        raw = words_only(text)
         sizes = [len(c.compress(raw)) for _, c in self.compressors()]
         best = min(sizes)
         at = sizes.index(best)
@@ -79,7 +88,7 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     samples = []
     for name in sorted(totals, key=lambda x: (-totals[x], x)):
         texts = [r["text"] for r in sorted(picked, key=lambda r: r["n"]) if r["lang"] == name]
-        sample = "\n".join(texts).lower().encode()[:DICTIONARY_BYTES]
+        sample = b"\n".join(map(words_only, texts))[:DICTIONARY_BYTES]
         if sample:
             samples.append((name, sample))
     return Dictionaries(tuple(samples))
