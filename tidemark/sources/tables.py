@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -45,29 +46,15 @@ def append_table(df: DataFrame, name: str) -> None:
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage of an intermediate that several branches of a plan read.
 
-    A reliable `checkpoint()` into the shared folder named by
-    `spark.checkpoint.dir` (set by the cluster; only local runs get a scratch
-    folder). The data survives executor loss, and the downstream plan shrinks
-    to a scan of the checkpoint instead of carrying the whole upstream plan
-    (and its subqueries) into every branch.
+    The rows are written once, as Parquet, into the shared folder named by
+    `spark.checkpoint.dir` (set by the cluster; only local runs get a scratch folder) and
+    read back: lost executors cost nothing upstream, readers prune columns and push
+    filters, and the plan below is a scan. A reliable `checkpoint()` would compute the
+    rows twice (once to count them, once to write them) and keep whole rows.
     """
     from tidemark.session import ensure_checkpoint_dir
 
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin an input that has fewer partitions than the session's default
-    parallelism (a file stored as one row group scans as one task).
-
-    The check is on the scan's planned splits (no job). On a cluster reading
-    many files the input already has more partitions and nothing is added.
-    """
-    from tidemark.session import default_parallelism, planned_partitions
-
-    target = min_partitions or default_parallelism(df.sparkSession)
-    have = planned_partitions(df)
-    if target and have is not None and have < target:
-        return df.repartition(target)
-    return df
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
