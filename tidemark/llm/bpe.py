@@ -40,6 +40,28 @@ CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 LATIN_LETTERS = "a-zªµºß-öø-ÿ"
 LATIN_NUMBERS = "0-9²³¹¼½¾"
 
+# Characters newer than the tokenizer's tables, which it takes for symbols
+# (ranges, both ends included), and lower case that is newer than Python's.
+NEW_LETTERS = """
+0558 058B-058C 088F 0C5C 0CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D
+107BB-107BF 10940-10959 10EC5-10EC7 10ED9-10EEE 11B0A 11DB0-11DDB 11DF1 16EA0-16EB8
+16EBB-16ED3 16FF2-16FF3 187F8-187FF 18CD6-18CDA 18D09-18D20 18D80-18DF2 18E00-19191
+191A0-191D2 1B123-1B128 1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF
+1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E
+2CEA2-2CEAD 323B0-33479 3D000-3FC3F
+"""
+NEW_NUMBERS = "11DE0-11DE9 1246F 12475-1247F 12550-12686 16FF4-16FF6"
+NEW_LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x0264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3,
+             0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x019B,
+             **{c: c + 0x20 for c in range(0x10D50, 0x10D66)},
+             **{c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}}
+
+
+def _class_of(ranges: str) -> str:
+    """Ranges of hexadecimal code points as the inside of a pattern's brackets."""
+    return "".join("-".join(f"\\U{int(end, 16):08x}" for end in part.split("-"))
+                   for part in ranges.split())
+
 
 def byte_symbols() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies:
@@ -121,8 +143,10 @@ class Codec:
             f"{CONTRACTIONS}|[{LATIN_LETTERS}]+|[{LATIN_NUMBERS}]|"
             f"[^{WHITE_SPACE}{LATIN_LETTERS}{LATIN_NUMBERS}]+")
         import regex
+        letter = rf"[\p{{L}}--[{_class_of(NEW_LETTERS)}]]"
+        number = rf"[\p{{N}}--[{_class_of(NEW_NUMBERS)}]]"
         self.any_script = regex.compile(
-            rf"{CONTRACTIONS}|\p{{L}}+|\p{{N}}|[^{WHITE_SPACE}\p{{L}}\p{{N}}]+")
+            rf"{CONTRACTIONS}|{letter}+|{number}|[^[{WHITE_SPACE}]{letter}{number}]+", regex.V1)
         self.words = _Words(self)
 
     # ------------------------------------------------------------ one word
@@ -197,7 +221,7 @@ class Codec:
         try:
             text.encode("latin-1")
         except UnicodeEncodeError:
-            return self.any_script.findall(text)
+            return self.any_script.findall(text.translate(NEW_LOWER))
         return self.latin.findall(text)
 
     def encode(self, text: str) -> np.ndarray:
@@ -277,9 +301,9 @@ def decoded(ids: Column, shared) -> Column:
 _DECIMALS: dict[int, list[bytes]] = {}
 
 
-def digest(text: Column, shared) -> Column:
-    """struct<n_tokens, ids_sha256, decoded_sha256>: encode, then decode the ids; only the
-    digests leave the worker."""
+def digest(text: Column, shared, with_ids: bool = False) -> Column:
+    """struct<n_tokens, ids_sha256, decoded_sha256>: encode, then decode the ids. The ids
+    leave the worker (as `token_ids`) only if asked for."""
     def run(texts: pd.Series) -> pd.DataFrame:
         codec = _codec_of(shared)
         if len(codec.offsets) not in _DECIMALS:
@@ -290,10 +314,11 @@ def digest(text: Column, shared) -> Column:
             ids = codec.encode(t)
             rows.append((len(ids), hashlib.sha256(b" ".join(map(decimal, ids.tolist())))
                          .hexdigest(), hashlib.sha256(codec.decode(ids.astype(np.int64)))
-                         .hexdigest()))
-        return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-    return F.pandas_udf(
-        run, "n_tokens long, ids_sha256 string, decoded_sha256 string")(filled(text))
+                         .hexdigest(), ids.astype(np.int32) if with_ids else None))
+        columns = ["n_tokens", "ids_sha256", "decoded_sha256", "token_ids"]
+        return pd.DataFrame(rows, columns=columns)[columns[:3 + with_ids]]
+    return F.pandas_udf(run, "n_tokens long, ids_sha256 string, decoded_sha256 string"
+                        + ", token_ids array<int>" * with_ids)(filled(text))
 
 
 def public_tokenizer(name: str = "word_bpe_49k.json") -> str:

@@ -8,13 +8,14 @@ from tidemark.llm import (
     language,
     licenses,
     neighbours,
+    pii,
     quality,
     simhash,
     suffixdedup,
     urls,
 )
 
-MODULES = [suffixdedup, urls, licenses, bpe, simhash, neighbours, language, decontaminate, quality]
+MODULES = [suffixdedup, pii, urls, licenses, bpe, simhash, neighbours, language, decontaminate, quality]
 
 QUERIES = {name: q for m in MODULES for name, q in m.QUERIES.items()}
 ORACLE_SQL = {name: sql.strip() for m in MODULES for name, sql in m.ORACLE_SQL.items()}

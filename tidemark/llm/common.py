@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import apply_defaults, ensure_checkpoint_dir
-from tidemark.sources.tables import read_parquet_table
+from tidemark.session import apply_defaults
+from tidemark.sources.tables import materialize, read_parquet_table
 
 TRAIN_PARTS = 4  # labelled rows fall into four parts by crc32 of the id as text ...
 HELD_OUT_PART = 2  # ... and this one is never learned from
@@ -40,10 +40,9 @@ def held_out(doc_id: str | Column) -> Column:
 def stored(df: DataFrame) -> DataFrame:
     """The rows written to the shared folder of `spark.checkpoint.dir` and read back:
     lineage ends there, and the data outlives any executor."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return materialize(df)
 
 
-def tasks_for(spark: SparkSession, n_bytes: int, bytes_per_task: int) -> int:
-    """Number of groups so that each holds about `bytes_per_task` bytes."""
-    return max(1, -(-int(n_bytes) // int(bytes_per_task)))
+def groups_for(n_bytes: int, bytes_per_group: int) -> int:
+    """Number of groups so that each holds about `bytes_per_group` bytes."""
+    return max(1, -(-int(n_bytes) // int(bytes_per_group)))

@@ -1,9 +1,9 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
 The index is document-partitioned: each task cuts its documents into shards of bounded
-size, numbers the words of a shard from zero with a gap between documents, and stores for
-every benchmark term the sorted positions at which it occurs (delta coded, compressed),
-one row per (shard, term). A search reads a shard's lists, starts every window at its
+size, numbers the words of a shard from zero with a gap between documents, and stores one
+row per shard: its documents, and for every benchmark term in it the sorted positions at
+which the term occurs (delta coded, compressed). A search reads a shard's lists, starts every window at its
 rarest term in that shard and keeps the starts that the lists of the other terms,
 adjusted by their offsets, confirm:
 
@@ -64,8 +64,7 @@ class Block:
 
 
 # ---------------------------------------------------------------- index
-INDEX = ("shard long, term int, n int, postings binary")
-DOC_TABLE = -1  # the row of a shard that lists its documents
+INDEX = "n_docs int, docs binary, terms array<int>, postings array<binary>"
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -77,11 +76,9 @@ def _unpack(blob: bytes, dtype=np.uint32) -> np.ndarray:
 
 
 def build_index(docs: DataFrame, doc_id: str, text: str, block) -> DataFrame:
-    """Rows (shard, term, n, postings) of the terms of a broadcast block, stored; each
-    shard also has a row that holds its documents: ids, text hashes, word counts."""
+    """One stored row per shard: its documents (ids, text hashes, word counts), the terms of
+    a broadcast block that it holds, and the postings of each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-        number = TaskContext.get().partitionId() << 32
         term = block.value.term.get
         lists: list[np.ndarray] = []
         rows: list[tuple[int | None, int]] = []
@@ -103,13 +100,11 @@ def build_index(docs: DataFrame, doc_id: str, text: str, block) -> DataFrame:
             hashes = np.array([r[1] for r in rows], np.int64)
             table_ = zstandard.compress(no_id.tobytes() + doc_ids.tobytes()
                                         + hashes.tobytes() + counts.tobytes(), 1)
-            n = len(parts) + 1
             return pa.record_batch([
-                pa.array([number] * n, pa.int64()),
-                pa.array([DOC_TABLE, *terms.tolist()], pa.int32()),
-                pa.array([len(rows), *map(len, parts)], pa.int32()),
-                pa.array([table_, *map(_pack, parts)], pa.binary()),
-            ], names=["shard", "term", "n", "postings"])
+                pa.array([len(rows)], pa.int32()), pa.array([table_], pa.binary()),
+                pa.array([terms], pa.list_(pa.int32())),
+                pa.array([[*map(_pack, parts)]], pa.list_(pa.binary())),
+            ], names=["n_docs", "docs", "terms", "postings"])
 
         for batch in batches:
             for key, digest, value in zip(*(c.to_pylist() for c in batch.columns)):
@@ -119,7 +114,7 @@ def build_index(docs: DataFrame, doc_id: str, text: str, block) -> DataFrame:
                 size += len(value)
                 if size >= SHARD_BYTES:
                     yield flush()
-                    number, size = number + 1, 0
+                    size = 0
                     lists.clear()
                     rows.clear()
         if rows:
@@ -196,18 +191,11 @@ def search(index: DataFrame, block, slop: int = SLOP) -> DataFrame:
         ], names=["doc_id", "text_hash", "n_words", "spans", "items", "near"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head: tuple[int, bytes, int] | None = None
-        lists: dict[int, np.ndarray] = {}
         for batch in batches:
-            for number, term, n, blob in zip(*(c.to_pylist() for c in batch.columns)):
-                if term == DOC_TABLE:  # a shard begins with its document table
-                    if head:
-                        yield shard(head[1], head[2], lists)
-                    head, lists = (number, blob, n), {}
-                else:
-                    lists[term] = _unpack(blob).astype(np.int64)
-        if head:
-            yield shard(head[1], head[2], lists)
+            for n, docs, terms, postings in zip(*batch.columns):
+                lists = {t: _unpack(p.as_buffer()).astype(np.int64)
+                         for t, p in zip(terms.as_py(), postings.values)}
+                yield shard(docs.as_py(), n.as_py(), lists)
 
     return index.mapInArrow(run, FOUND)
 
@@ -288,6 +276,17 @@ def report(found: DataFrame) -> DataFrame:
     ).withColumn("contaminated", F.col("n_hit") > 0)
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text"
+          ) -> DataFrame:
+    """`docs` without the documents in which a window of the benchmark occurs."""
+    hit = (matches(docs, benchmark, doc_id, text).filter(F.size("items") > 0)
+           .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct())
+    hashed = docs.withColumn("__text_hash", F.xxhash64(text))
+    same = (hashed[doc_id].cast("long").eqNullSafe(hit["__id"])
+            & (hashed["__text_hash"] == hit["__hash"]))
+    return hashed.join(hit, same, "left_anti").select(*docs.columns)
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document against every benchmark item (one row per document)."""
     return report(matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))

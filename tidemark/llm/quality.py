@@ -233,6 +233,16 @@ def fitted(spark: SparkSession, docs: DataFrame, labels: DataFrame):
     return spark.sparkContext.broadcast(fit(texts, ys, shares)) if texts else None
 
 
+def accepted(docs: DataFrame, labels: DataFrame, text: str = "text",
+             threshold: float = THRESHOLD) -> DataFrame:
+    """`docs` without those scored below the threshold (all, if nothing could be learned)."""
+    model = fitted(docs.sparkSession, docs, labels)
+    if model is None:
+        return docs
+    return (docs.withColumn("__score", score(F.col(text), model))
+            .filter(F.col("__score") >= threshold).select(*docs.columns))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every whole text of `documents`."""
     docs = table(spark, sf_dir, "documents")

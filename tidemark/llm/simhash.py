@@ -224,18 +224,39 @@ def links(fingerprints: DataFrame, distance: int = DISTANCE, group_limit: int =
             .mapInArrow(_compare(distance), LINKS).distinct())
 
 
+def by_component(marked: DataFrame, first: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """(fp, first): `first` (fp, first) with the least value of each fingerprint's component
+    in place of its own. `marked` has the fingerprints of all rows."""
+    joined = components(links(marked, distance))
+    of = first.join(joined, first["fp"] == joined["node"], "left").select(
+        "fp", "first", F.coalesce("component", "fp").alias("component"))
+    least = of.groupBy("component").agg(F.min("first").alias("least"))
+    return of.join(least, "component").select("fp", F.col("least").alias("first"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """(doc_id, fp, component_id), one row per document."""
-    marked = stored(docs.select(F.col(doc_id).alias("doc_id"), fingerprint(text, shingle).alias("fp")))
-    first = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    joined = components(links(marked, distance))
+    marked = stored(docs.select(F.col(doc_id).alias("doc_id"),
+                                fingerprint(text, shingle).alias("fp")))
     # the smallest document of each component of fingerprints
-    of = first.join(joined, first["fp"] == joined["node"], "left").select(
-        "fp", "first", F.coalesce("component", "fp").alias("component"))
-    least = of.groupBy("component").agg(F.min("first").alias("component_id"))
-    by_fp = of.join(least, "component").select("fp", "component_id")
-    return marked.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    least = by_component(marked, marked.groupBy("fp").agg(F.min("doc_id").alias("first")), distance)
+    return marked.join(least, "fp").select("doc_id", "fp", F.col("first").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """`docs` with one row of each component: that of the smallest id (rows without an id
+    come last), among rows of one id that of the smallest hash of all its columns."""
+    row = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"),
+                   F.xxhash64(*docs.columns).alias("hash"))
+    marked = stored(docs.select(row.alias("row"), fingerprint(text, shingle).alias("fp")))
+    kept = (by_component(marked, marked.groupBy("fp").agg(F.min("row").alias("first")), distance)
+            .select(F.col("first.id").alias("__id"), F.col("first.hash").alias("__hash")).distinct())
+    hashed = docs.withColumn("__hash", F.xxhash64(*docs.columns))
+    same = hashed[doc_id].eqNullSafe(kept["__id"]) & (hashed["__hash"] == kept["__hash"])
+    return (hashed.join(kept, same, "left_semi").dropDuplicates([doc_id, "__hash"])
+            .select(*docs.columns))
 
 
 def hexadecimal(fp: Column) -> Column:

@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table, tasks_for, utf8
+from tidemark.llm.common import table, groups_for, utf8
 from tidemark.llm.deepshallow import PAD, ranks
 
 WIDTH = 50
@@ -362,11 +362,10 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """(doc_id, n_bytes, n_removed, n_spans, kept), one row per document."""
     if width < GRAM:
         raise ValueError(f"strings have at least {GRAM} bytes")
-    spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), utf8(text).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    parts = tasks_for(spark, size, PART_BYTES) | 1
-    buckets = tasks_for(spark, size, BUCKET_BYTES)
+    parts = groups_for(size, PART_BYTES) | 1
+    buckets = groups_for(size, BUCKET_BYTES)
 
     own = F.col("doc_id").bitwiseXOR(F.shiftright("doc_id", 17))
     spread = F.coalesce(own, F.xxhash64("text"))  # rows without an id go anywhere
