@@ -5,12 +5,15 @@ smaller id. Strings meet by their minimizer, the least hash among their `GRAM`-b
 which equal strings share wherever they stand. Consecutive strings of one minimizer form
 a run, a piece of text of `width - 1` bytes more than it has strings.
 
-1. Each task reports the minimizers of its documents; those that only one document has
-   are dropped, as their strings can't repeat.
-2. Documents meet the shared minimizers of their part; the runs of these are ordered by
-   deep-shallow sorting. Of equal runs in a part, those of the smallest document go on,
-   the others are settled. So a passage that very many documents hold is sent on once
-   for each part, not once for each document.
+1. Documents are dealt into parts by id. Each part reports its minimizers once, with the
+   number of its runs; those that no two documents share are dropped, as their strings
+   can't repeat.
+2. Parts meet their shared minimizers; the runs of these are ordered by deep-shallow
+   sorting. Of equal runs in a part, those of the smallest document go on, the others are
+   settled. So a passage that very many documents hold is sent on once for each part, not
+   once for each document. Runs of a minimizer with more than `HOT_RUNS` runs (a phrase in
+   ever new surroundings) go on string by string, each under its own hash, so that no
+   minimizer is too much for one task.
 3. Runs meet by minimizer, again ordered and settled as whole runs; where several documents
    are left for a minimizer, all strings of the runs are ordered one by one, and each that
    a smaller document has is marked.
@@ -27,7 +30,6 @@ do not affect each other; an empty table gives no rows.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,10 +44,10 @@ WIDTH = 50
 GRAM = 16
 KEY_BITS = 48
 PIECE = 1 << 20  # bytes whose hashes are held at once
-REPORTED = 3 << 20  # minimizers packed at once
 PART_BYTES = 6 << 20  # text of the documents in a part
 BUCKET_BYTES = 6 << 20  # text whose minimizers fall into a bucket
 STRINGS = 1 << 20  # strings sorted at once
+HOT_RUNS = 200_000  # runs of one minimizer that a task takes together
 _MASK = np.uint64((1 << KEY_BITS) - 1)
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -127,58 +129,53 @@ def _by_group(column: np.ndarray, values: np.ndarray, how) -> np.ndarray:
 
 # ------------------------------------------------------------ 1. shared minimizers
 def _report(width: int, buckets: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys: list[np.ndarray] = []
-        docs: list[np.ndarray] = []
-        held = 0
-
-        def flush() -> pa.RecordBatch:
-            key, doc = np.concatenate(keys), np.concatenate(docs)
-            order = np.lexsort((doc, key))
-            key, doc = key[order], doc[order]
-            new = np.r_[True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])]
-            key, doc = key[new], doc[new]
-            bucket, cut = _split(bucket_of(key, buckets))
-            blobs = [_pack(np.diff(key[a:b], prepend=np.uint64(0)), doc[a:b])
+    """Of a part: for each bucket its keys, and twice the number of their runs, plus one if
+    several documents of the part have the key."""
+    def run(key: tuple[pa.Scalar, ...], docs: pa.Table) -> pa.Table:
+        keys, owners = [], []
+        for doc, value in zip(docs.column("doc_id").to_pylist(), docs.column("text").to_pylist()):
+            if doc is not None and len(value) >= width:
+                k, _, _ = runs_of(np.frombuffer(value, np.uint8), width)
+                keys.append(k)
+                owners.append(np.full(len(k), doc, np.int64))
+        bucket, blobs = np.empty(0, np.int64), []
+        if keys:
+            k, doc = np.concatenate(keys), np.concatenate(owners)
+            order = np.argsort(k, kind="stable")
+            k, doc = k[order], doc[order]
+            at = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+            several = np.minimum.reduceat(doc, at) != np.maximum.reduceat(doc, at)
+            note = (2 * np.diff(np.r_[at, len(k)]) + several).astype(np.uint32)
+            bucket, cut = _split(bucket_of(k[at], buckets))
+            blobs = [_pack(np.diff(k[at[a:b]], prepend=np.uint64(0)), note[a:b])
                      for a, b in zip(cut, cut[1:])]
-            return pa.record_batch([pa.array(bucket.astype(np.int64)),
-                                    pa.array(blobs, pa.binary())], names=["bucket", "blob"])
-
-        for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                key, _, _ = runs_of(np.frombuffer(text.as_buffer(), np.uint8), width)
-                if len(key):
-                    keys.append(key)
-                    docs.append(np.full(len(key), doc, np.int64))
-                    held += len(key)
-                if held >= REPORTED:
-                    yield flush()
-                    keys.clear()
-                    docs.clear()
-                    held = 0
-        if held:
-            yield flush()
+        return pa.table([pa.array(bucket.astype(np.int64)),
+                         pa.array([key[0].as_py()] * len(blobs), pa.int64()),
+                         pa.array(blobs, pa.binary())], names=["bucket", "part", "blob"])
     return run
 
 
-def _shared(parts: int):
-    """Of a bucket: for each part the keys that documents of it share with others."""
+def _shared(hot_runs: int):
+    """Of a bucket: for each part its keys that several documents have, and which are hot.
+    A document lies in one part, so a key of two parts has two documents."""
     def run(group: pa.Table) -> pa.Table:
-        found = [_unpack(b, np.uint64, np.int64) for b in group.column("blob").to_pylist()]
+        found = [_unpack(b, np.uint64, np.uint32) for b in group.column("blob").to_pylist()]
         key = np.concatenate([np.cumsum(k, dtype=np.uint64) for k, _ in found])
-        doc = np.concatenate([d for _, d in found])
+        note = np.concatenate([n for _, n in found]).astype(np.int64)
+        part = np.repeat(group.column("part").to_numpy(), [len(k) for k, _ in found])
         order = np.argsort(key, kind="stable")
-        key, doc = key[order], doc[order]
-        several = _by_group(key, doc, np.minimum) != _by_group(key, doc, np.maximum)
-        key, part = key[several], part_of(doc[several], parts)
+        key, note, part = key[order], note[order], part[order]
+        parts = _by_group(key, np.ones(len(key), np.int64), np.add)
+        several = (parts > 1) | (note & 1 == 1)
+        hot = _by_group(key, note >> 1, np.add) > hot_runs
+        key, hot, part = key[several], hot[several], part[several]
         order = np.lexsort((key, part))
-        key, part = key[order], part[order]
-        new = np.r_[True, (key[1:] != key[:-1]) | (part[1:] != part[:-1])][:len(key)]
-        part, cut = _split(part[new])
-        key = key[new]
+        key, hot, part = key[order], hot[order], part[order]
+        part, cut = _split(part)
         return pa.table([pa.array(part.astype(np.int64)),
-                         pa.array([_pack(key[a:b]) for a, b in zip(cut, cut[1:])], pa.binary())],
-                        names=["part", "blob"])
+                         pa.array([_pack(np.diff(key[a:b], prepend=np.uint64(0)),
+                                         hot[a:b].astype(np.uint8)) for a, b in zip(cut, cut[1:])],
+                                  pa.binary())], names=["part", "blob"])
     return run
 
 
@@ -210,13 +207,29 @@ def _settled(buf: np.ndarray, start: np.ndarray, length: np.ndarray, doc: np.nda
     return out
 
 
+def _single(buf: np.ndarray, width: int, k, doc, crc, first, count, at) -> list[np.ndarray]:
+    """The strings of runs as runs of one string each, under a hash of their own."""
+    owner = np.repeat(np.arange(len(count)), count)
+    inside = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+    view = np.ndarray((len(buf) - 7,), "<u8", buf, strides=(1,))
+    where = at[owner] + inside
+    own = np.zeros(len(where), np.uint64)
+    for d in [*range(0, width - 8, 8), width - 8]:
+        own = (own ^ view[where + d]) * _A
+        own ^= own >> np.uint64(29)
+    return [(own * _C) >> np.uint64(64 - KEY_BITS), doc[owner], crc[owner], first[owner] + inside,
+            np.ones(len(owner), np.int64), where]
+
+
 def _send(width: int, buckets: int):
     """Of a part: packed runs for the buckets, and marks of what is settled here."""
-    def run(key, docs: pa.Table, shared: pa.Table) -> pa.Table:
+    def run(key: tuple[pa.Scalar, ...], docs: pa.Table, shared: pa.Table) -> pa.Table:
         rows: list[tuple[int, bool, bytes]] = []
         if len(docs) and len(shared):
-            wanted = np.sort(np.concatenate(
-                [_unpack(b, np.uint64)[0] for b in shared.column("blob").to_pylist()]))
+            lists = [_unpack(b, np.uint64, np.uint8) for b in shared.column("blob").to_pylist()]
+            wanted = np.concatenate([np.cumsum(w, dtype=np.uint64) for w, _ in lists])
+            order = np.argsort(wanted)
+            wanted, hot = wanted[order], np.concatenate([h for _, h in lists])[order]
             texts, found, base = [], [], 0
             for doc, value in zip(docs.column("doc_id").to_pylist(),
                                   docs.column("text").to_pylist()):
@@ -230,12 +243,16 @@ def _send(width: int, buckets: int):
                     n = int(kept.sum())
                     found.append((k[kept], np.full(n, doc, np.int64),
                                   np.full(n, zlib.crc32(value), np.uint32), first[kept],
-                                  count[kept], first[kept] + base))
+                                  count[kept], first[kept] + base, hot[at[kept]] > 0))
                     texts.append(text)
                     base += len(text)
             if found:
-                k, doc, crc, first, count, at = map(np.concatenate, zip(*found))
+                *runs, split = map(np.concatenate, zip(*found))
                 buf = np.concatenate([*texts, np.zeros(PAD, np.uint8)])
+                if split.any():
+                    more = _single(buf, width, *(c[split] for c in runs))
+                    runs = [np.concatenate([c[~split], m]) for c, m in zip(runs, more)]
+                k, doc, crc, first, count, at = runs
                 length = count + width - 1
                 gone = _settled(buf, at, length, doc)
                 if gone.any():
@@ -327,7 +344,7 @@ KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
 
 def _remove(width: int):
-    def run(_, docs: pa.Table, marks: pa.Table) -> pa.Table:
+    def run(_: tuple[pa.Scalar, ...], docs: pa.Table, marks: pa.Table) -> pa.Table:
         found = [_unpack(b, *_MARK) for b in marks.column("blob").to_pylist()]
         by_text: dict[tuple[int, int], slice] = {}
         if found:
@@ -358,7 +375,7 @@ def _remove(width: int):
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                    width: int = WIDTH) -> DataFrame:
+                    width: int = WIDTH, hot_runs: int = HOT_RUNS) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept), one row per document."""
     if width < GRAM:
         raise ValueError(f"strings have at least {GRAM} bytes")
@@ -370,10 +387,9 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     own = F.col("doc_id").bitwiseXOR(F.shiftright("doc_id", 17))
     spread = F.coalesce(own, F.xxhash64("text"))  # rows without an id go anywhere
     dealt = rows.withColumn("part", F.pmod(spread, F.lit(parts).cast("long")))
-    known = rows.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= width))
-    shared = (known.mapInArrow(_report(width, buckets), "bucket long, blob binary")
-              .groupBy("bucket").applyInArrow(_shared(parts), "part long, blob binary"))
     by_part = dealt.groupBy("part")
+    shared = (by_part.applyInArrow(_report(width, buckets), "bucket long, part long, blob binary")
+              .groupBy("bucket").applyInArrow(_shared(hot_runs), "part long, blob binary"))
     sent = by_part.cogroup(shared.groupBy("part")).applyInArrow(
         _send(width, buckets), "bucket long, settled boolean, blob binary")
     marks = sent.groupBy("bucket").applyInArrow(_mark(width, parts), "part long, blob binary")
