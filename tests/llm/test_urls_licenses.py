@@ -72,7 +72,7 @@ def test_judge(spark):
 
 def plain_matches(text):
     out = []
-    for i, line in enumerate((text or "").split("\n"), 1):
+    for i, line in enumerate([text or "", *(text or "").split("\n")]):
         words = re.sub("[^a-z0-9]+", " ", line.lower()).strip().split(" ")
         grams = {f"{a} {b}" for a, b in zip(words, words[1:])}
         scored = []
@@ -92,13 +92,16 @@ def test_license_lines(spark, docs, rows, no_docs):
         "\n".join(notices), notices[0].upper() + "!!", "x\n\n" + notices[3] + "\n" + notices[3],
         "Released%%% under*** the&&& MIT### License.", "the mit license", "released under the mit "
         "licence or so they say", " ".join(notices), ("under the " * 300) + notices[5],
-        "MIT MIT MIT MIT", "a b"]
+        "MIT MIT MIT MIT", "a b", "Copyright (c) 2020 A. Person\n\n" + notices[1]]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
+    seen = set()
     for r in df.select("text", licenses.line_matches("text").alias("m")).collect():
         got = [(m["line"], m["license"], m["dice"]) for m in r["m"]]
         want = plain_matches(r["text"])
         assert [g[:2] for g in got] == [w[:2] for w in want], r["text"]
         assert all(math.isclose(g[2], w[2]) for g, w in zip(got, want))
+        seen |= {(g[0] == 0, g[1]) for g in got}
+    assert {(True, "MIT+"), (False, "MIT"), (True, "ISC+"), (False, "GPL-3.0")} <= seen
     assert no_docs.select(licenses.line_matches("text")).count() == 0
 
 

@@ -1,14 +1,15 @@
 """License scans with built-in functions only.
 
-A text is cut into its lines; each line is normalised to lower-case words. Licence
-templates are word-bigram sets; the Dice coefficient 2 * common / (n + m) of a line and a
-template cannot reach `MIN_DICE` unless the smaller set has at least
-`MIN_DICE / (2 - MIN_DICE)` of the larger one's size. That bound discards lines before
-their bigrams are built, and templates before they are compared.
+The whole text (unit 0) and each of its lines (units 1, 2, ...) are normalised to
+lower-case words. Licence templates are word-bigram sets; the Dice coefficient
+2 * common / (n + m) of a unit and a template cannot reach `MIN_DICE` unless the smaller
+set has at least `MIN_DICE / (2 - MIN_DICE)` of the larger one's size. That bound discards
+units with too few words before their bigrams are built, then units of the wrong size, and
+templates before they are compared.
 
 Everything happens inside the row (no shuffle, nothing to skew).
 
-Edge cases: null and empty texts, and lines of fewer than two words, match nothing; equal
+Edge cases: null and empty texts, and units of fewer than two words, match nothing; equal
 coefficients go to the first template name; repeated rows are judged one by one.
 """
 
@@ -24,8 +25,28 @@ from tidemark.llm.common import filled, table
 
 MIN_DICE = 0.8
 
-# Licence notices, by SPDX name.
+# Licence texts and notices, by SPDX name ("+" marks a whole licence).
 TEMPLATES = {
+    "ISC+": """Permission to use, copy, modify, and/or distribute this software for any purpose
+        with or without fee is hereby granted, provided that the above copyright notice and this
+        permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR
+        DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+        MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL,
+        DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS
+        OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS
+        ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
+    "MIT+": """Permission is hereby granted, free of charge, to any person obtaining a copy of
+        this software and associated documentation files (the "Software"), to deal in the
+        Software without restriction, including without limitation the rights to use, copy,
+        modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and
+        to permit persons to whom the Software is furnished to do so, subject to the following
+        conditions: The above copyright notice and this permission notice shall be included in
+        all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS",
+        WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+        WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN
+        NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+        LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR
+        IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
     "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "BSD-2-Clause": "Released under the BSD 2-Clause License.",
@@ -71,18 +92,36 @@ def _templates(templates: dict[str, str], min_dice: float) -> Column:
     return F.array(*rows)
 
 
+def merged(bounds: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The union of size ranges as few disjoint ones."""
+    out: list[tuple[int, int]] = []
+    for low, high in sorted(bounds):
+        if out and low <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(high, out[-1][1]))
+        else:
+            out.append((low, high))
+    return out
+
+
 def line_matches(text: str | Column, templates: dict[str, str] = TEMPLATES,
                  min_dice: float = MIN_DICE) -> Column:
-    """array<struct<line int, license string, dice double>>: the best template of every
-    line that reaches `min_dice`; lines count from 1."""
-    bounds = [size_bounds(len(template_bigrams(t)), min_dice) for t in templates.values()]
-    low, high = min(b[0] for b in bounds), max(b[1] for b in bounds)
+    """array<struct<line int, license string, dice double>>: the best template of every unit
+    that reaches `min_dice`; 0 is the whole text, lines count from 1."""
+    ranges = merged([size_bounds(len(template_bigrams(t)), min_dice) for t in templates.values()])
+    low = ranges[0][0]
     known = _templates(templates, min_dice)
 
-    # a line with n distinct bigrams has more than n words, but repeats may hide any number
-    # of them; lines of few words leave here, long ones when their bigrams are counted
-    lines = F.transform(F.split(filled(text), "\n"), lambda line, i: F.struct(
-        (i + 1).alias("line"),
+    def fits(size: Column) -> Column:
+        out = F.lit(False)
+        for a, b in ranges:
+            out = out | size.between(a, b)
+        return out
+
+    # a unit with n distinct bigrams has more than n words, but repeats may hide any number
+    # of them; units of few words leave here, the others when their bigrams are counted
+    whole = filled(text)
+    lines = F.transform(F.concat(F.array(whole), F.split(whole, "\n")), lambda line, i: F.struct(
+        i.alias("line"),
         F.split(F.trim(F.regexp_replace(F.lower(line), "[^a-z0-9]+", " ")), " ").alias("words")))
     lines = F.filter(lines, lambda x: F.size(x["words"]) > low)
     lines = F.transform(lines, lambda x: F.struct(
@@ -91,7 +130,7 @@ def line_matches(text: str | Column, templates: dict[str, str] = TEMPLATES,
             F.slice(x["words"], 1, F.size(x["words"]) - 1),
             F.slice(x["words"], 2, F.size(x["words"]) - 1),
             lambda a, b: F.concat_ws(" ", a, b))).alias("grams")))
-    lines = F.filter(lines, lambda x: F.size(x["grams"]).between(low, high))
+    lines = F.filter(lines, lambda x: fits(F.size(x["grams"])))
 
     def best(x: Column) -> Column:
         near = F.filter(known, lambda t: F.size(x["grams"]).between(t["low"], t["high"]))
@@ -112,7 +151,7 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = F.array_min(F.transform("m", lambda x: F.struct((-x["dice"]).alias("less"),
                                                           x["license"].alias("name"))))
     return found.select(
-        "doc_id", F.size("m").cast("long").alias("n_lines"),
+        "doc_id", F.size("m").cast("long").alias("n_matches"),
         F.array_join(F.array_sort(F.array_distinct(
             F.transform("m", lambda x: x["license"]))), ",").alias("licenses"),
         top["name"].alias("best_license"), F.round(-top["less"], 6).alias("best_dice"),
@@ -132,8 +171,9 @@ def _oracle() -> str:
 WITH known(license, grams, low, high) AS (VALUES
     {rows}),
 docs AS (SELECT doc_id, row_number() OVER () AS rid,
-                string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-lines AS (SELECT rid, i AS line, string_split(trim(regexp_replace(lower(lines[i]),
+                list_concat([coalesce(text, '')], string_split(coalesce(text, ''), chr(10))) AS lines
+         FROM documents),
+lines AS (SELECT rid, i - 1 AS line, string_split(trim(regexp_replace(lower(lines[i]),
                  '[^a-z0-9]+', ' ', 'g')), ' ') AS words
           FROM docs, LATERAL (SELECT unnest(range(1, len(lines) + 1)) AS i)),
 grams AS (SELECT rid, line, list_distinct(list_transform(range(1, len(words)),
@@ -144,13 +184,13 @@ scored AS (SELECT rid, line, license,
            FROM grams JOIN known ON len(g) BETWEEN low AND high),
 best AS (SELECT rid, line, arg_min(license, (-dice, license)) AS license, max(dice) AS dice
          FROM scored WHERE dice >= {MIN_DICE} GROUP BY rid, line),
-summed AS (SELECT rid, count(*) AS n_lines,
+summed AS (SELECT rid, count(*) AS n_matches,
                   string_agg(DISTINCT license, ',' ORDER BY license) AS licenses,
                   arg_min(license, (-dice, license)) AS best_license,
                   round(max(dice), 6) AS best_dice,
                   string_agg(line || ':' || license, ',' ORDER BY line) AS matches
            FROM best GROUP BY rid)
-SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(licenses, '') AS licenses,
+SELECT doc_id, coalesce(n_matches, 0)::BIGINT AS n_matches, coalesce(licenses, '') AS licenses,
        best_license, best_dice, coalesce(matches, '') AS matches
 FROM docs LEFT JOIN summed USING (rid)
 """
