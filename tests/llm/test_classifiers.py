@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import language, quality
-from tidemark.llm.common import held_out, table
+from tidemark.llm.common import held_out, smallest, table
 
 SF = "/root/testdata/sf0.1"
 
@@ -72,3 +72,11 @@ def test_rows_of_the_held_out_part_teach_nothing(spark, docs):
     assert quality.training_sample(docs, labels) == quality.training_sample(docs, flipped)
     changed = docs.withColumn("lang", F.when(held_out("doc_id"), "zz").otherwise(F.col("lang")))
     assert language.learn(docs).samples == language.learn(changed).samples
+
+
+def test_smallest_of_each_group(spark):
+    rows = [(g, h) for g in ("a", "b", None) for h in range(50) for _ in range(2)]
+    df = spark.createDataFrame(rows, "g string, h int").repartition(5)
+    got = sorted(map(tuple, smallest(df, 7, ["g"], ["h"], salts=3).collect()), key=str)
+    assert got == sorted([r for g in ("a", "b", None) for r in
+                          sorted((x for x in rows if x[0] == g), key=lambda x: x[1])[:7]], key=str)

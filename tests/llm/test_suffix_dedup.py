@@ -34,10 +34,31 @@ def test_matches_plain_version(docs, rows):
 
 def test_small_parts_give_equal_results(docs, rows, monkeypatch):
     from tidemark.llm import suffixdedup
-    for name, value in (("PART_BYTES", 4000), ("BUCKET_BYTES", 3000), ("REPORTED", 200),
-                        ("STRINGS", 100), ("PIECE", 64)):
+    for name, value in (("PART_BYTES", 4000), ("BUCKET_BYTES", 3000), ("STRINGS", 100)):
         monkeypatch.setattr(suffixdedup, name, value)
-    assert result(docs) == sorted(repeats([r[:2] for r in rows]), key=str)
+    want = sorted(repeats([r[:2] for r in rows]), key=str)
+    assert result(docs) == want
+    # every minimizer is hot: its strings travel one by one
+    by_width = sorted(repeats([r[:2] for r in rows], 20), key=str)
+    assert result(docs, hot_runs=0) == want
+    assert result(docs, width=20, hot_runs=0) == by_width
+
+
+def test_runs_partition_the_strings(monkeypatch):
+    """Every string is in one run; equal strings have equal keys; pieces don't matter."""
+    from tidemark.llm import suffixdedup
+    rng = np.random.default_rng(1)
+    text = np.frombuffer(bytes(rng.choice(list(b"ab c"), 700)) + b"x" * 200, np.uint8)
+    key, first, count = suffixdedup.runs_of(text, 50)
+    assert first[0] == 0 and (first[1:] == (first + count)[:-1]).all()
+    assert (first + count)[-1] == len(text) - 49
+    by_string = {}
+    for k, a, n in zip(key, first, count):
+        for p in range(a, a + n):
+            assert by_string.setdefault(text[p:p + 50].tobytes(), k) == k
+    monkeypatch.setattr(suffixdedup, "PIECE", 64)
+    cut = suffixdedup.runs_of(text, 50)
+    assert np.repeat(cut[0], cut[2]).tolist() == np.repeat(key, count).tolist()
 
 
 def test_other_widths(docs, rows):

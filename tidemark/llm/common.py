@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import apply_defaults
@@ -43,6 +43,21 @@ def stored(df: DataFrame) -> DataFrame:
     return materialize(df)
 
 
+def smallest(df: DataFrame, n: int, group: list[str], order: list[str], salts: int = 256
+             ) -> DataFrame:
+    """The `n` first rows of each group in the given order, which has to be that of hashes.
+
+    Ranked twice, by (group, salt) and then by group: each task of the first round keeps its
+    own `n` best (window group limit), and the second sees at most `salts * n` rows of a
+    group, however many tasks there were.
+    """
+    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
+    for by in ([*group, "__salt"], group):
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+        salted = salted.withColumn("__rank", rank).filter(F.col("__rank") <= n)
+    return salted.drop("__salt", "__rank")
+
+
 def groups_for(n_bytes: int, bytes_per_group: int) -> int:
     """Number of groups so that each holds about `bytes_per_group` bytes."""
     return max(1, -(-int(n_bytes) // int(bytes_per_group)))

@@ -294,4 +294,31 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op9_decontaminate": op9_decontaminate}
 
-ORACLE_SQL = {}
+_WORDS = ("regexp_extract_all(translate(coalesce({t}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+          "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')")
+ORACLE_SQL = {"op9_decontaminate": f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS.format(t="text")} AS w
+              FROM documents),
+items AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS.format(t="text")} AS w FROM benchmark
+          WHERE item_id IS NOT NULL),
+windows AS (SELECT DISTINCT item, w[i:i + {WINDOW - 1}] AS t
+            FROM items, LATERAL (SELECT unnest(range(1, greatest(len(w) - {WINDOW - 1}, 1) + 1)) AS i)
+            WHERE len(w) > 0),
+words AS (SELECT rid, p, w[p] AS word, least(p - 1, {SLOP}) AS o,
+                 w[greatest(p - {SLOP}, 1):p + {WINDOW - 1 + SLOP}] AS c
+          FROM docs, LATERAL (SELECT unnest(range(1, len(w) + 1)) AS p)),
+starts AS (SELECT rid, p, item, t, o, c FROM words JOIN windows ON word = t[1]),
+exact AS (SELECT rid, p, item, len(t) AS n FROM starts WHERE c[o + 1:o + len(t)] = t),
+near AS (SELECT DISTINCT rid, item FROM starts
+         WHERE len(list_filter(range(2, len(t) + 1), lambda j: NOT list_contains(
+           c[greatest(o + j - {SLOP}, 1):o + j + {SLOP}], t[j]))) = 0),
+hit AS (SELECT rid, count(DISTINCT q) AS n_hit
+        FROM (SELECT rid, unnest(range(p, p + n)) AS q FROM exact) GROUP BY rid),
+found AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+          FROM (SELECT DISTINCT rid, item FROM exact) GROUP BY rid),
+close AS (SELECT rid, count(*) AS n_near FROM near GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_near, 0)::BIGINT AS n_near_items, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (rid) LEFT JOIN found USING (rid) LEFT JOIN close USING (rid)
+"""}

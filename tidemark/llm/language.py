@@ -22,10 +22,10 @@ import re
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import held_out, table
+from tidemark.llm.common import held_out, smallest, table
 
 PER_LANGUAGE = 80
 MAX_FIT_CHARS = 20_000
@@ -81,13 +81,13 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
                         F.col(text).alias("text"))
             .filter(F.col("lang").isNotNull() & ~held_out("id")))
     totals = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "text")
-    picked = (rows.filter(F.length("text").between(1, MAX_FIT_CHARS))
-              .withColumn("n", F.row_number().over(order)).filter(F.col("n") <= PER_LANGUAGE)
-              .select("lang", "n", "text").collect())
+    fit_for = rows.filter(F.length("text").between(1, MAX_FIT_CHARS)).withColumn(
+        "hash", F.xxhash64("id"))
+    order = ["hash", "id", "text"]
+    picked = smallest(fit_for, PER_LANGUAGE, ["lang"], order).orderBy("lang", *order).collect()
     samples = []
     for name in sorted(totals, key=lambda x: (-totals[x], x)):
-        texts = [r["text"] for r in sorted(picked, key=lambda r: r["n"]) if r["lang"] == name]
+        texts = [r["text"] for r in picked if r["lang"] == name]
         sample = b"\n".join(map(words_only, texts))[:DICTIONARY_BYTES]
         if sample:
             samples.append((name, sample))

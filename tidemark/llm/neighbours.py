@@ -101,7 +101,7 @@ def tile_results(queries: DataFrame, candidates: DataFrame, blocks: tuple[int, i
     """The k best of every query in every tile. Both sides have (id, v, size)."""
     q_blocks, c_blocks = blocks
 
-    def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
+    def run(_: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
         def matrix(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
             v = t.column("v").combine_chunks()
             return (t.column("id").to_numpy(),

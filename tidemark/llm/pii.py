@@ -26,10 +26,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import filled, table
+from tidemark.llm.common import filled, smallest, table
 from tidemark.llm.tagger import Tagger, char_ids
 
 KINDS = ("email", "ip", "card", "phone")
@@ -213,9 +213,9 @@ def labelled_windows(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def fit(docs: DataFrame, text: str = "text", per_kind: int = PER_KIND) -> Tagger | None:
     """A tagger trained on the bounded sample, or None without windows."""
-    order = Window.partitionBy("kind").orderBy(F.xxhash64("window"), "window", "tags")
-    rows = (labelled_windows(docs, text).withColumn("n", F.row_number().over(order))
-            .filter(F.col("n") <= per_kind).orderBy("kind", "n").collect())
+    hashed = labelled_windows(docs, text).withColumn("hash", F.xxhash64("window"))
+    order = ["hash", "window", "tags"]
+    rows = smallest(hashed, per_kind, ["kind"], order).orderBy("kind", *order).collect()
     if not rows:
         return None
     tagger = Tagger(1 + 2 * len(KINDS))

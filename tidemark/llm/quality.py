@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import filled, held_out, table
+from tidemark.llm.common import filled, held_out, smallest, table
 
 PER_CLASS = 2500
 MAX_FIT_CHARS = 20_000
@@ -204,13 +204,12 @@ def training_sample(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
              .groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("top"))
              .filter(F.col("y") == F.col("top")).select("id", "y"))
     totals = {r["y"]: r["count"] for r in clear.groupBy("y").count().collect()}
-    chosen = None
-    for y in (0, 1):  # at most per_class ids each: small enough to broadcast
-        part = clear.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(per_class)
-        chosen = part if chosen is None else chosen.unionByName(part)
+    # at most per_class ids of each class: small enough to broadcast
+    chosen = smallest(clear.withColumn("hash", F.xxhash64("id")), per_class, ["y"],
+                      ["hash", "id"]).drop("hash")
     rows = (docs.select(F.col(doc_id).alias("id"), filled(text).alias("text"))
             .filter(F.length("text") <= MAX_FIT_CHARS)
-            .join(F.broadcast(chosen), "id").dropDuplicates(["id"])
+            .join(F.broadcast(chosen), "id").groupBy("id", "y").agg(F.min("text").alias("text"))
             .orderBy("id").select("text", "y").collect())
     n = max(1, sum(totals.values()))
     return ([r["text"] for r in rows], [r["y"] for r in rows],
