@@ -11,6 +11,7 @@ from tidemark.operators.clean import (
     clean,
     deduplicate,
     quality_rules,
+    reject_counts,
     trip_spec,
     typed_projection,
 )
@@ -89,3 +90,20 @@ def test_dedup_and_quality_counts_on_test_events(spark, events_small):
     assert q["rows_out"] == silver.count()
     assert q["rows_out"] == deduplicate(apply_rules(typed, spec)).count()
     assert 0 < q["dropped_ratio"] < 0.1
+
+
+def test_unreadable_text_is_rejected_and_counted(spark):
+    rows = [("2024-01-01 08:00:00", "2024-01-01 08:10:00", "2.5", "11"),
+            ("soon", "2024-01-01 08:10:00", "2.5", "11"),
+            ("2024-01-01 08:00:00", "2024-01-01 08:10:00", "abc", "11"),
+            ("2024-01-01 08:00:00", "2024-01-01 08:10:00", None, "1e9"),
+            ("2024-01-01 08:00:00", "later", "1.0", "")]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in SOURCE))
+    assert clean(df, trip_spec()).count() == 1
+    got = {r["reason"]: r["n_rows"] for r in reject_counts(df, trip_spec()).collect()}
+    assert got == {
+        "pickup_ts_unreadable": 1, "pickup_hour_unreadable": 1, "pickup_dow_unreadable": 1,
+        "duration_min_unreadable": 2, "trip_distance_unreadable": 1, "fare_amount_unreadable": 1,
+        "pickup_ts_present": 1, "pickup_hour_present": 1, "pickup_dow_present": 1,
+        "duration_min_present": 2, "trip_distance_present": 2, "fare_amount_present": 1,
+        "trip_distance": 2, "duration_min": 2, "fare_amount": 2}

@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from tidemark.operators.cumulative import exact_quantiles, running_totals
+from tidemark.operators.cumulative import exact_quantiles, in_pieces, running_totals, value_counts
 
 
 def _disc(values, p):
@@ -40,7 +40,7 @@ def test_running_totals_equal_numpy_cumsum(spark):
     uniq, counts = np.unique(vals, return_counts=True)
     df = spark.createDataFrame([(float(u), int(c)) for u, c in zip(uniq, counts)],
                                "v double, n long")
-    out = running_totals(df, [], "v", ["n"], buckets=16).orderBy("v").collect()
+    out = running_totals(df, [], "v", ["n"]).orderBy("v").collect()
     assert [r["cum_n"] for r in out] == np.cumsum(counts).tolist()
     assert {r["total_n"] for r in out} == {len(vals)}
 
@@ -49,3 +49,23 @@ def test_nulls_and_nans_are_ignored(spark):
     df = spark.createDataFrame([(1.0,), (None,), (float("nan"),), (3.0,)], "v double")
     got = exact_quantiles(df, [], "v", [0.5, 1.0]).orderBy("p").collect()
     assert [r["v"] for r in got] == [1.0, 3.0]
+
+
+def test_pieces_follow_the_session_setting(spark):
+    """The cut is by the number of shuffle partitions, also within one feature."""
+    df = spark.range(5000).selectExpr("'x' as g", "double(id % 1000) as v")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions",
+                                          "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for n in (3, 11):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            cut = in_pieces(value_counts(df, ["g"], "v"), ["g"], "v")
+            sizes = [r["count"] for r in cut.groupBy("_piece").count().collect()]
+            assert len(sizes) == n and max(sizes) < 3 * 1000 / n
+            out = running_totals(cut, ["g"], "v", ["n"]).orderBy("v").collect()
+            assert [r["cum_n"] for r in out] == [5 * (i + 1) for i in range(1000)]
+            assert {r["total_n"] for r in out} == {5000}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -28,11 +28,12 @@ def test_bronze_and_silver(spark, names, events_small):
         {"reference", "new"}
 
 
-def test_quality_gate_fails_on_too_few_rows(spark, names):
+def test_failing_quality_gate_leaves_silver_untouched(spark, names):
     from tidemark.operators.gates import DataQualityError
-    with pytest.raises(DataQualityError):
-        jobs.run_silver(spark, names, jobs.JobConfig(min_rows=10**9))
-    jobs.run_silver(spark, names, jobs.JobConfig(min_rows=100))  # restore
+    before = sorted(spark.table(names.silver).collect())
+    with pytest.raises(DataQualityError, match="too_few_rows"):
+        jobs.run_silver(spark, names, jobs.JobConfig(min_rows=10**9, fraction=0.1))
+    assert sorted(spark.table(names.silver).collect()) == before
 
 
 def test_train_registers_version_profile_sample_alias(spark, names):
@@ -40,6 +41,13 @@ def test_train_registers_version_profile_sample_alias(spark, names):
     assert len(v) == 1 and v[0]["version"] == 1
     assert spark.table(names.baseline_bins).select("feature").distinct().count() == 4
     assert spark.table(names.baseline_sample).count() > 0
+    assert spark.table(names.model_signatures).count() == 200
+    run = spark.table(names.model_runs).first()
+    assert (run["engine"], run["best_model"], run["silver_table"]) == (
+        "spark", "linear_regression", names.silver)
+    ref = spark.table(names.silver).filter("window = 'reference'").count()
+    kept = spark.table(names.baseline_values).groupBy("feature").agg(F.sum("n").alias("n"))
+    assert {r["n"] for r in kept.collect()} == {ref}  # every row is in the stored baseline
     assert jobs.alias_version(spark, names, "champion")["version"] == 1
 
 
@@ -63,10 +71,22 @@ def test_scoring_and_monitor(spark, names):
     assert perf and perf[0]["mae_ratio"] > 0
     from tidemark.operators.gates import DriftAlert
     with pytest.raises(DriftAlert):
-        jobs.run_monitor(spark, names, simulate_factor=3.0, fail_on_alert=True)
+        jobs.run_monitor(spark, names, what_if={"trip_distance": 3.0, "duration_min": 3.0},
+                         fail_on_alert=True)
     assert spark.table(names.drift_metrics).filter("simulated").count() == 4
 
 
+def test_degraded_model_fails_the_monitor(spark, names):
+    from tidemark.operators.gates import ModelDegraded
+    jobs.run_monitor(spark, names, fail_on_degraded=True)  # as trained: no alarm
+    worse = spark.table(names.predictions).withColumn("abs_error", F.col("abs_error") + 100)
+    other = TableNames(schema=names.schema, own={"predictions": "worse_predictions_e2e"})
+    worse.write.mode("overwrite").saveAsTable(other.predictions)
+    with pytest.raises(ModelDegraded):
+        jobs.run_monitor(spark, other, fail_on_degraded=True)
+    assert spark.table(names.performance_metrics).filter("mae_ratio > 1.3").count() == 1
+
+
 def test_request_monitor(spark, names, events_small):
     log = request_log_from_events(events_small)
     log.write.mode("overwrite").saveAsTable(names.payload)
@@ -86,6 +106,7 @@ def test_three_models_train_and_best_is_min(spark, events_small):
     split = with_split(clean(trips_from_events(events_small), spec))
     results = learn.train_models(split, list(TRIP_FEATURES), "fare_amount")
     frame = {r["model"]: r for r in learn.results_frame(spark, results).collect()}
+    assert {r["n_rows"] for r in frame.values()} == {split.filter("split = 'test'").count()}
     assert set(frame) == {"linear_regression", "random_forest", "gbt"}
     for r in frame.values():
         assert r["rmse"] < 5 and r["mae"] >= 0
@@ -96,6 +117,9 @@ def test_three_models_train_and_best_is_min(spark, events_small):
 
 
 def test_table_names():
+    assert TableNames(schema="dev", own={"payload": "log"}).payload == "dev.log"
+    with pytest.raises(AttributeError):
+        TableNames(schema="dev").nothing  # noqa: B018
     n = TableNames(schema="dev", catalog="main")
     assert n.silver == "main.dev.silver_trips"
     assert TableNames(schema="dev").model_versions == "dev.model_versions"

@@ -20,6 +20,8 @@ def test_no_cross_join_and_pruned_scans(spark, key):
     plan = _plan_text(entry.queries()[key](spark, SF_SMALL))
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
+    # no bin search is pushed into a filter on raw rows
+    assert "isnotnull(CASE" not in plan and "isnotnull(size" not in plan
     # scans read only the columns the query uses
     schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", plan)
     for unused in ("user_id", "event_type", "l_returnflag", "o_custkey"):

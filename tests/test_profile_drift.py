@@ -128,3 +128,57 @@ def test_sample_keeps_repeated_rows(spark):
     df = spark.createDataFrame([(1, 2.0)] * 50 + [(2, 3.0)], "k long, x double")
     got = sorted(r["value"] for r in P.sample_values(df, ["x"], ["k"], k=10).collect())
     assert len(got) == 10
+
+
+def test_sample_and_split_ignore_partitioning_with_repeated_times(spark, events_small):
+    """Pickups cut to the hour: only all columns together tell rows apart."""
+    from tidemark.plans import datasets as ds
+    s = build_silver(trips_from_events(events_small)).withColumn(
+        "pickup_ts", F.date_trunc("hour", "pickup_ts")).distinct()
+    assert s.select("pickup_ts").distinct().count() < s.count()
+    seen = []
+    for parts in (1, 6):
+        r = s.repartition(parts).withColumns({f"_k{i}": c for i, c in enumerate(ds.trip_key())})
+        keys = [c for c in r.columns if c.startswith("_k")]
+        sample = sorted(map(tuple, P.sample_values(r, TRIP_FEATURES, keys, k=50).collect()))
+        signature = sorted(map(tuple, ds.signature_rows(r, 40).collect()))
+        split = sorted(map(tuple, ds.with_split(r).collect()))
+        seen.append((sample, signature, split))
+    assert seen[0] == seen[1]
+    hours = {v for f, v in seen[0][0] if f == "pickup_hour"}
+    assert len(hours) > 12  # a sample of rows, not of a few hours
+
+
+def test_sample_is_a_rank_limit_on_one_scan(spark, events_small):
+    path = "/root/testdata/sf0.001/events.parquet"
+    df = spark.read.parquet(path).selectExpr("event_id as k", "value as x")
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10000")
+    plan = P.sample_values(df, ["x"], ["k"], k=2000)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and plan.count("FileScan") == 1
+
+
+@pytest.mark.parametrize("old,new", [([None, None], [1.0, 2.0]), ([1.0, 2.0], [None]),
+                                     ([None], [None])])
+def test_no_data_on_either_side(spark, old, new):
+    ref, act = _one(spark, old), _one(spark, new)
+    row = D.psi(act, ["x"], P.baseline_profile(ref, ["x"])).first()
+    assert row["psi"] is None
+    both = (ref.withColumn("window", F.lit("reference"))
+            .unionByName(act.withColumn("window", F.lit("new"))))
+    report = D.window_drift(both, ["x"]).first()
+    assert (report["psi"], report["ks"], report["status"]) == (None, None, "no_data")
+
+
+def test_ks_against_stored_values_is_the_full_test(spark):
+    rng = np.random.default_rng(6)
+    a, b = np.round(rng.normal(size=3000), 2), np.round(rng.normal(0.1, 1, size=700), 2)
+    stored = P.baseline_values(_one(spark, a.tolist()), ["x"])
+    got = D.ks_against_baseline(stored, _one(spark, b.tolist()), ["x"]).first()["ks"]
+    assert got == pytest.approx(_ks_numpy(a, b), abs=1e-12)
+
+
+def test_more_bins_than_any_fixed_limit(spark):
+    df = _one(spark, [float(i) for i in range(1000)])
+    prof = P.baseline_profile(df, ["x"], n_bins=200)
+    assert prof.count() == 200
+    assert D.psi(df, ["x"], prof).first()["psi"] == pytest.approx(0.0, abs=1e-12)

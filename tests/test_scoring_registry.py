@@ -72,14 +72,18 @@ def test_current_alias_is_latest_move(spark):
     assert got == {"champion": 3, "challenger": 4}
 
 
-def test_quality_gate_cases():
-    stats = G.check_quality(1000, 900, max_drop_ratio=0.2, min_rows=100)
-    assert stats["rows_out"] == 900 and stats["dropped_ratio"] == 0.1
-    with pytest.raises(G.DataQualityError):
-        G.check_quality(1000, 500, max_drop_ratio=0.2, min_rows=100)
-    with pytest.raises(G.DataQualityError, match="usable rows"):
-        G.check_quality(50, 50, max_drop_ratio=0.2, min_rows=100)
-    assert G.check_quality(0, 0, min_rows=0)["dropped_ratio"] == 0.0
+@pytest.mark.parametrize("rows_in,rows_out,min_rows,failed", [
+    (1000, 900, 100, None), (1000, 500, 100, "too_many_dropped"), (50, 50, 100, "too_few_rows"),
+    (0, 0, 0, None), (300, 20, 100, "too_few_rows, too_many_dropped")])
+def test_quality_gate_cases(spark, rows_in, rows_out, min_rows, failed):
+    counts = G.table_counts(spark.range(rows_in), spark.range(rows_out))
+    if failed:
+        with pytest.raises(G.DataQualityError, match=failed):
+            G.enforce_quality(counts, min_rows, max_drop_ratio=0.2)
+    else:
+        row = G.enforce_quality(counts, min_rows, max_drop_ratio=0.2)
+        assert (row["rows_in"], row["rows_out"]) == (rows_in, rows_out)
+        assert row["dropped_ratio"] == (0.1 if rows_in else 0.0)
 
 
 def test_performance_gate(spark):

@@ -3,13 +3,20 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import drift as D
 from tidemark.operators import profile as P
+from tidemark.operators import requests as Q
 from tidemark.operators.clean import TRIP_FEATURES
 from tidemark.plans.datasets import build_silver
 from tidemark.sources.adapters import request_log_from_events, trips_from_events
-from tidemark.streaming.request_bins import start_request_drift_stream, window_psi
+from tidemark.streaming.request_bins import (
+    append_once,
+    start_request_drift_stream,
+    window_psi,
+)
 
 
 def test_stream_matches_batch_bins(spark, events_small):
@@ -31,14 +38,43 @@ def test_stream_matches_batch_bins(spark, events_small):
     # windows close only when the watermark passes them; at least one closed
     assert out.count() >= 4
     assert set(r["feature"] for r in out.collect()) == set(TRIP_FEATURES)
-    assert out.filter(F.col("psi") < 0).count() == 0
+    # each closed window equals the batch report over its records
+    records = Q.parse_requests(log, TRIP_FEATURES)
+    for w in {r["window"] for r in out.collect()}:
+        inside = records.filter((F.col("request_time") >= F.lit(w["start"]))
+                                & (F.col("request_time") < F.lit(w["end"])))
+        batch = {r["feature"]: r["psi"] for r in D.psi(inside, TRIP_FEATURES, profile).collect()}
+        for r in out.filter(F.col("window.start") == F.lit(w["start"])).collect():
+            assert r["n_rows"] == inside.count()
+            assert r["psi"] == pytest.approx(batch[r["feature"]], abs=1e-12)
 
 
-def test_window_psi_zero_on_profile_counts(spark):
-    profile = spark.createDataFrame(
-        [("x", 0, None, 1.0, 5, 0.5), ("x", 1, 1.0, None, 5, 0.5)],
-        "feature string, bin int, lower double, upper double, expected_count long, expected_pct double")
-    counts = spark.createDataFrame([("w", "x", 0, 10), ("w", "x", 1, 10)],
-                                   "window string, feature string, bin int, count long")
-    r = window_psi(counts, profile).first()
-    assert r["psi"] == 0.0 and r["n_rows"] == 20 and r["status"] == "ok"
+def _profile(spark):
+    return spark.createDataFrame(
+        [("x", 0, None, 1.0, 5, 0.5), ("x", 1, 1.0, None, 5, 0.5), ("y", 0, None, 0.0, 0, None),
+         ("y", 1, 0.0, None, 0, None)],
+        "feature string, bin int, lower double, upper double, expected_count long, "
+        "expected_pct double")
+
+
+def _counts(spark):
+    return spark.createDataFrame(
+        [("w", "x", 0, 10), ("w", "x", 1, 10), ("w", "y", 0, 3), ("w", "_records", 0, 25),
+         ("v", "_records", 0, 4)], "window string, feature string, bin int, count long")
+
+
+def test_window_psi_counts_records_and_knows_missing_data(spark):
+    got = {(r["window"], r["feature"]): (r["psi"], r["n_rows"], r["status"])
+           for r in window_psi(_counts(spark), _profile(spark), ["x", "y"]).collect()}
+    assert got == {("w", "x"): (0.0, 25, "ok"), ("w", "y"): (None, 25, "no_data"),
+                   ("v", "x"): (None, 4, "no_data"), ("v", "y"): (None, 4, "no_data")}
+
+
+def test_replayed_batch_adds_nothing(spark):
+    rows = window_psi(_counts(spark), _profile(spark), ["x", "y"])
+    for _ in range(2):
+        append_once(rows, "replayed_psi", "stream-a", 7)
+    assert spark.table("replayed_psi").count() == 4
+    append_once(rows, "replayed_psi", "stream-a", 8)
+    append_once(rows, "replayed_psi", "stream-b", 7)
+    assert spark.table("replayed_psi").count() == 12

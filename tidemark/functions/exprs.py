@@ -26,12 +26,6 @@ def minutes_between(start: str | Column, end: str | Column) -> Column:
     return ((whole_seconds(end) - whole_seconds(start)) / 60.0).cast("double")
 
 
-def is_missing(c: str | Column) -> Column:
-    """True for null, and for NaN on floating-point input."""
-    c = col_of(c)
-    return c.isNull() | F.isnan(c)
-
-
 def is_present(c: str | Column, floating: bool = True) -> Column:
     """Pushable form of "not null (and not NaN)": `isNotNull` reaches the scan."""
     c = col_of(c)
@@ -50,14 +44,9 @@ def hash_bucket(hex_hash: Column, modulo: int, digits: int = 8) -> Column:
     return (F.conv(F.substring(hex_hash, 1, digits), 16, 10).cast("bigint") % modulo).cast("int")
 
 
-def hash_prefix(hex_hash: Column, digits: int = 5) -> Column:
-    """Leading hex digits of a hash as an int in [0, 16**digits): orders like the hash."""
-    return F.conv(F.substring(hex_hash, 1, digits), 16, 10).cast("int")
-
-
-def safe_ratio(num: Column, den: Column) -> Column:
-    """num / den, null when den is 0 or null (ANSI mode would raise on `/ 0`)."""
-    return F.try_divide(num, den)
+def millionths(c: str | Column) -> Column:
+    """A double as a whole number of millionths: a text key that every engine writes alike."""
+    return F.round(col_of(c) * 1e6).cast("bigint")
 
 
 def linear_combination(intercept: float, weights: Iterable[tuple[str, float]]) -> Column:
@@ -80,33 +69,11 @@ def round_doubles(df, digits: int = 6, only: Iterable[str] | None = None):
     return df.select(*out)
 
 
-def count_at_most(edges: Column, value: Column, max_len: int) -> Column:
-    """Number of elements of the sorted, distinct array `edges` that are <= `value`
-    (the bin index).
+def count_at_most(edges: Column, value: Column) -> Column:
+    """Number of elements of the array `edges` that are <= `value` (the bin index), for any
+    number of edges; -1 for a null array.
 
-    A static balanced comparison tree over positions 1..max_len: every node
-    compares `value` with `edges[mid]` for a constant `mid`, so a row costs
-    log2(max_len) codegen'd comparisons and the expression has ~2·max_len nodes
-    (no interpreted lambda, usable with a scalar-subquery array). Positions past
-    the array's end read as null and steer left. Arrays longer than `max_len`
-    raise an error instead of giving wrong bins.
+    Never null, so a join on the result infers no `isnotnull` filter that would carry the
+    search into the scan of the raw rows.
     """
-
-    def node(lo: int, hi: int) -> Column:  # answer is in [lo, hi]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(F.try_element_at(edges, F.lit(mid)) <= value, node(mid, hi)).otherwise(
-            node(lo, mid - 1))
-
-    tree = node(0, max(0, int(max_len)))
-    return F.when(F.size(edges) > max_len,
-                  F.raise_error(F.lit(f"more than {max_len} edges"))).otherwise(tree)
-
-
-def with_count_at_most(df, out: str, edges: Column, value: Column, max_len: int):
-    """`df` plus column `out` = `count_at_most(edges, value, max_len)`; the edge
-    array is projected once as a column first."""
-    return (df.withColumn("_edges_", edges)
-            .withColumn(out, count_at_most(F.col("_edges_"), value, max_len))
-            .drop("_edges_"))
+    return F.coalesce(F.size(F.filter(edges, lambda e: e <= value)), F.lit(-1))

@@ -32,14 +32,6 @@ def all_pass(rules: Sequence[Rule]) -> Column:
     return expr
 
 
-def broken_rules(rules: Sequence[Rule]) -> Column:
-    """array<string> of the names of the rules the row breaks, in rule order."""
-    return F.filter(
-        F.array(*[F.when(~r.passed(), F.lit(r.name)) for r in rules]),
-        lambda x: x.isNotNull(),
-    )
-
-
 def broken_rules_text(rules: Sequence[Rule], sep: str = ";") -> Column:
-    """Same as `broken_rules`, joined to one string ('' when none)."""
+    """Names of the rules the row breaks, in rule order, joined ('' when none)."""
     return F.concat_ws(sep, *[F.when(~r.passed(), F.lit(r.name)) for r in rules])

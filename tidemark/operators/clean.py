@@ -35,13 +35,21 @@ def add_ingest_time(df: DataFrame, column: str = "_ingested_at") -> DataFrame:
 
 @dataclass(frozen=True)
 class TypedColumn:
-    """One output column of a typed projection: name, expression, whether it may be
-    NaN (doubles) for the missing-value rule."""
+    """One output column of a typed projection: name, expression over the source, the source
+    columns it is read from, and whether it may be NaN (doubles)."""
 
     name: str
     expr: Column
+    sources: tuple[str, ...]
     floating: bool = True
 
+    def unreadable(self) -> Column:
+        """True where the source has every value but none could be read from them."""
+        given = F.lit(True)
+        for c in self.sources:
+            given = given & F.col(c).isNotNull()
+        return given & self.expr.isNull()
+
 
 @dataclass(frozen=True)
 class SilverSpec:
@@ -70,16 +78,22 @@ TRIP_COLUMNS = ("pickup_ts", *TRIP_FEATURES, TRIP_TARGET)
 
 
 def trip_spec() -> SilverSpec:
-    """The taxi-trip silver: timestamp, four features, target."""
-    pickup = F.col("tpep_pickup_datetime").cast("timestamp")
-    dropoff = F.col("tpep_dropoff_datetime").cast("timestamp")
+    """The taxi-trip silver: timestamp, four features, target. Text that cannot be read as
+    its type becomes null (`try_cast`) and is rejected by the presence rules."""
+    started, ended, length, price = TRIP_SOURCE = (
+        "tpep_pickup_datetime", "tpep_dropoff_datetime", "trip_distance", "fare_amount")
+
+    def number(name: str) -> Column:
+        return F.col(name).try_cast("double")
+
+    start, end = (F.col(c).try_cast("timestamp") for c in (started, ended))
     columns = (
-        TypedColumn("pickup_ts", pickup, floating=False),
-        TypedColumn("trip_distance", F.col("trip_distance").cast("double")),
-        TypedColumn("duration_min", minutes_between(pickup, dropoff)),
-        TypedColumn("pickup_hour", F.hour(pickup).cast("double")),
-        TypedColumn("pickup_dow", F.dayofweek(pickup).cast("double")),  # 1 = Sunday
-        TypedColumn("fare_amount", F.col("fare_amount").cast("double")),
+        TypedColumn("pickup_ts", start, (started,), floating=False),
+        TypedColumn("trip_distance", number(length), (length,)),
+        TypedColumn("duration_min", minutes_between(start, end), (started, ended)),
+        TypedColumn("pickup_hour", F.hour(start).cast("double"), (started,)),
+        TypedColumn("pickup_dow", F.dayofweek(start).cast("double"), (started,)),  # 1 = Sunday
+        TypedColumn("fare_amount", number(price), (price,)),
     )
     # The cleaning limits of the product (both ends included
     # unless stated): distance [0.1, 100], duration [1, 240] min, fare (0, 300].
@@ -89,8 +103,7 @@ def trip_spec() -> SilverSpec:
         Rule("fare_amount", (F.col("fare_amount") > 0) & (F.col("fare_amount") <= 300)),
     )
     return SilverSpec(
-        required=("tpep_pickup_datetime", "tpep_dropoff_datetime", "trip_distance",
-                  "fare_amount"),
+        required=TRIP_SOURCE,
         columns=columns,
         rules=rules,
         time_column="pickup_ts",
@@ -120,6 +133,21 @@ def apply_rules(df: DataFrame, spec: SilverSpec) -> DataFrame:
     return df.filter(all_pass(quality_rules(spec)))
 
 
+def reject_counts(df: DataFrame, spec: SilverSpec) -> DataFrame:
+    """(reason, n_rows): source rows by every reason that keeps them out of silver — text
+    that could not be read (`<column>_unreadable`), a missing value, a broken limit. A row
+    with several reasons counts for each; one pass, partial aggregation per reason."""
+    require_columns(df, spec.required)
+    bad_text = [F.when(c.unreadable(), F.lit(f"{c.name}_unreadable")) for c in spec.columns]
+    # names that the source cannot have: typed columns may be named like source columns
+    marked = df.select(F.array_compact(F.array(*bad_text)).alias("_unreadable"),
+                       *[c.expr.alias(c.name) for c in spec.columns])
+    broken = F.array(*[F.when(~r.passed(), F.lit(r.name)) for r in quality_rules(spec)])
+    reasons = F.concat("_unreadable", F.array_compact(broken))
+    return marked.select(F.explode(reasons).alias("reason")).groupBy("reason").agg(
+        F.count(F.lit(1)).alias("n_rows"))
+
+
 def deduplicate(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """Distinct rows (over `subset` if given). Partial aggregation collapses hot
     duplicates before the shuffle."""

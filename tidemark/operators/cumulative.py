@@ -1,19 +1,19 @@
 """Exact running totals in value order, without an un-partitioned window.
 
-An ordered running count over a whole column (exact quantiles, empirical CDFs)
-would, written as `Window.orderBy(value)`, move every row into one task. Here it
-is split in two levels:
-
-1. the caller pre-aggregates to one row per distinct (group, value) with weights
-   (partial aggregation collapses hot values before any shuffle);
-2. approximate bucket edges per group are taken over those distinct values, so
-   every bucket holds about the same number of *distinct* values;
-3. a running sum inside (group, bucket) — a window partitioned by both;
-4. bucket totals and their offsets (#buckets rows per group) are joined back.
-
-A value falls into exactly one bucket, so ties are exact. The edge and offset
-tables hold (#groups × #buckets) rows and are broadcast only when the caller
-states that the number of groups is bounded (e.g. a list of features).
+An ordered running count over a whole column (exact quantiles, empirical CDFs) would,
+written as `Window.orderBy(value)`, move every row into one task. Here it is split:
+
+1. the caller pre-aggregates to one row per distinct (group, value) with weights (partial
+   aggregation collapses hot values before any shuffle);
+2. a range exchange on (group, value) cuts these rows into as many pieces as the session's
+   `spark.sql.shuffle.partitions` says (fewer where the data is small), whatever the
+   number of groups; the pieces are written once, so all that follows sees the same cut;
+3. a running sum inside (group, piece);
+4. the pieces' totals, at most one row per piece and group border, give each piece its
+   offset, and are joined back.
+
+A value lies in exactly one piece, so ties are exact, and a task's share shrinks with the
+number of pieces: nothing here is fixed by a constant.
 """
 
 from __future__ import annotations
@@ -23,80 +23,58 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import with_count_at_most
+from tidemark.sources.tables import materialize
 
-DEFAULT_BUCKETS = 64
-EDGE_ACCURACY = 10000
+PIECE = "_piece"
 
 
-def _maybe_broadcast(df: DataFrame, bounded: bool) -> DataFrame:
-    return F.broadcast(df) if bounded else df
+def in_pieces(counts: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
+    """`counts` (one row per distinct group and value) in value order, cut into pieces:
+    adds `_piece`, which rises with (group, value). Stored, so it can be read repeatedly."""
+    ordered = counts.repartitionByRange(*group_cols, value_col)
+    return materialize(ordered.withColumn(PIECE, F.spark_partition_id()))
 
 
 def running_totals(counts: DataFrame, group_cols: Sequence[str], value_col: str,
-                   weight_cols: Sequence[str], buckets: int = DEFAULT_BUCKETS,
-                   groups_bounded: bool = True) -> DataFrame:
-    """Add `cum_<w>` (inclusive running sum of `w` in `value_col` order within the
-    group) and `total_<w>` (group total) for every weight column.
+                   weight_cols: Sequence[str]) -> DataFrame:
+    """Add `cum_<w>` (inclusive running sum of `w` in `value_col` order within the group)
+    and `total_<w>` (group total) for every weight column.
 
-    `counts` must hold one row per distinct (group, value).
+    `counts` has one row per distinct (group, value), plain or from `in_pieces`.
     """
     keys = list(group_cols)
-    value = F.col(value_col)
-
-    probs = [i / buckets for i in range(1, buckets)]
-    # The guard is always true (every distinct value has a positive weight), but it
-    # makes the edge aggregate read the weights too, so column pruning leaves the
-    # counts' aggregation identical in both branches and Spark reuses its exchange
-    # instead of scanning the input again for the edges.
-    total_weight = sum((F.col(w) for w in weight_cols[1:]), F.col(weight_cols[0]))
-    guarded = F.when(total_weight > 0, value)
-    edge_expr = F.array_distinct(F.percentile_approx(guarded, probs, EDGE_ACCURACY))
-    if keys:
-        edges = counts.groupBy(*keys).agg(edge_expr.alias("_edges"))
-        with_edges = counts.join(_maybe_broadcast(edges, groups_bounded), keys)
-        bucketed = with_count_at_most(with_edges, "_bucket", F.col("_edges"), value,
-                                      buckets - 1).drop("_edges")
-    else:
-        # one global group: the edges are a scalar subquery (evaluated once), so
-        # no join at all is needed to attach them
-        bucketed = with_count_at_most(counts, "_bucket", counts.agg(edge_expr).scalar(),
-                                      value, buckets - 1)
-
-    # running sums and the bucket totals from one Window operator (same partition and
-    # order, two frames), so the bucket expression is evaluated once per row
-    ordered = Window.partitionBy(*keys, "_bucket").orderBy(value)
-    inside = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bucket = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    running = bucketed.select(
-        "*", *[F.sum(w).over(inside).alias(f"_run_{w}") for w in weight_cols],
-        *[F.sum(w).over(bucket).alias(f"_bt_{w}") for w in weight_cols])
-
-    bucket_totals = running.groupBy(*keys, "_bucket").agg(
-        *[F.max(f"_bt_{w}").alias(f"_bt_{w}") for w in weight_cols])
-    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1)
+    names = [c for c in counts.columns if c != PIECE]
+    cut = counts if PIECE in counts.columns else in_pieces(counts, keys, value_col)
+
+    inside = (Window.partitionBy(*keys, PIECE).orderBy(value_col)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    running = cut.select("*", *[F.sum(w).over(inside).alias(f"_run_{w}") for w in weight_cols])
+
+    per_piece = cut.groupBy(*keys, PIECE).agg(*[F.sum(w).alias(f"_sum_{w}") for w in weight_cols])
+    before = Window.partitionBy(*keys).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
-    offsets = bucket_totals.select(
-        *keys, "_bucket",
-        *[F.coalesce(F.sum(f"_bt_{w}").over(before), F.lit(0)).alias(f"_off_{w}")
+    offsets = per_piece.select(
+        *keys, PIECE,
+        *[F.coalesce(F.sum(f"_sum_{w}").over(before), F.lit(0)).alias(f"_before_{w}")
           for w in weight_cols],
-        *[F.sum(f"_bt_{w}").over(whole).alias(f"total_{w}") for w in weight_cols],
-    )
+        *[F.sum(f"_sum_{w}").over(whole).alias(f"total_{w}") for w in weight_cols])
+
+    # no hint: the offsets are broadcast where the session's threshold says they fit
+    return running.join(offsets, [*keys, PIECE]).select(
+        *names,
+        *[(F.col(f"_before_{w}") + F.col(f"_run_{w}")).alias(f"cum_{w}") for w in weight_cols],
+        *[F.col(f"total_{w}") for w in weight_cols])
 
-    out = running.drop(*[f"_bt_{w}" for w in weight_cols]).join(
-        _maybe_broadcast(offsets, groups_bounded), [*keys, "_bucket"])
-    out = out.select(
-        *counts.columns,
-        *[(F.col(f"_off_{w}") + F.col(f"_run_{w}")).alias(f"cum_{w}") for w in weight_cols],
-        *[F.col(f"total_{w}") for w in weight_cols],
-    )
-    return out
+
+def value_counts(values: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
+    """(group..., value, n): rows of each distinct value; null and NaN are left out."""
+    v = F.col(value_col)
+    present = values.filter(v.isNotNull() & ~F.isnan(v.cast("double")))
+    return present.groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("n"))
 
 
 def exact_quantiles(values: DataFrame, group_cols: Sequence[str], value_col: str,
-                    probs: Sequence[float], buckets: int = DEFAULT_BUCKETS,
-                    groups_bounded: bool = True) -> DataFrame:
+                    probs: Sequence[float]) -> DataFrame:
     """Discrete quantiles: for each p the smallest value whose running count reaches
     max(1, ceil(n * p)) — the `percentile_disc` definition.
 
@@ -104,19 +82,12 @@ def exact_quantiles(values: DataFrame, group_cols: Sequence[str], value_col: str
     group and probability (groups without values give no rows). Null and NaN
     values are ignored.
     """
-    group_cols = list(group_cols)
-    v = F.col(value_col)
-    present = values.filter(v.isNotNull() & ~F.isnan(v.cast("double")))
-    counts = present.groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("n"))
-    cum = running_totals(counts, group_cols, value_col, ["n"], buckets, groups_bounded)
-
+    keys = list(group_cols)
+    cum = running_totals(value_counts(values, keys, value_col), keys, value_col, ["n"])
     hits = quantile_hits(F.col("total_n"), F.col("cum_n"), F.col("n"), probs)
-    return (
-        cum.select(*group_cols, value_col, F.explode(hits).alias("p_index"))
-        .select(*group_cols, "p_index",
-                F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("p_index") + 1)
-                .alias("p"), value_col)
-    )
+    at = F.array(*[F.lit(float(p)) for p in probs])
+    return (cum.select(*keys, value_col, F.explode(hits).alias("p_index"))
+            .select(*keys, "p_index", F.element_at(at, F.col("p_index") + 1).alias("p"), value_col))
 
 
 def quantile_hits(total: Column, cum: Column, n: Column, probs: Sequence[float]) -> Column:

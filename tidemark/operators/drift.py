@@ -15,8 +15,17 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.cumulative import quantile_hits, running_totals
-from tidemark.operators.profile import bin_counts, present, profile_edges, to_long, with_shares
+from tidemark.operators.cumulative import PIECE, in_pieces, quantile_hits, running_totals
+from tidemark.operators.profile import (
+    assign_bins,
+    bin_counts,
+    bin_grid,
+    feature_list,
+    present,
+    profile_edges,
+    to_long,
+    with_shares,
+)
 
 # Clip of empty shares, PSI limits.
 PSI_EPS = 1e-6
@@ -40,18 +49,20 @@ def actual_bins(df: DataFrame, features: Sequence[str], profile: DataFrame) -> D
     return with_shares(counts, "actual_count", "actual_pct")
 
 
+def psi_terms(expected_pct: Column, actual_pct: Column) -> Column:
+    """PSI over a group of bins; null when either side has no data (a share is null)."""
+    e, a = F.greatest(expected_pct, F.lit(PSI_EPS)), F.greatest(actual_pct, F.lit(PSI_EPS))
+    unknown = F.count_if(expected_pct.isNull() | actual_pct.isNull())
+    return F.when(unknown == 0, F.sum((a - e) * F.ln(a / e)))
+
+
 def psi_from_bins(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """(feature, psi, bins). `expected` has (feature, bin, expected_pct), `actual`
     (feature, bin, actual_pct); both dense and small."""
-    e = F.greatest(F.col("expected_pct"), F.lit(PSI_EPS))
-    a = F.greatest(F.col("actual_pct"), F.lit(PSI_EPS))
     joined = expected.select("feature", "bin", "expected_pct").join(
         actual.select("feature", "bin", "actual_pct"), ["feature", "bin"], "left")
-    term = (a - e) * F.ln(a / e)
     return joined.groupBy("feature").agg(
-        # a bin without an actual share means the feature had no new data at all
-        F.when(F.count_if(F.col("actual_pct").isNull()) > 0, F.lit(None).cast("double"))
-        .otherwise(F.sum(term)).alias("psi"),
+        psi_terms(F.col("expected_pct"), F.col("actual_pct")).alias("psi"),
         F.count(F.lit(1)).alias("bins"))
 
 
@@ -60,16 +71,30 @@ def psi(df: DataFrame, features: Sequence[str], profile: DataFrame) -> DataFrame
     return psi_from_bins(profile, actual_bins(df, features, profile))
 
 
+def sided_counts(sided: DataFrame, side_col: str = "side", a: str = "a", b: str = "b"
+                 ) -> DataFrame:
+    """(feature, value, n_a, n_b): one aggregation of a long frame (feature, value, side)."""
+    return present(sided).groupBy("feature", "value").agg(
+        F.count_if(F.col(side_col) == a).alias("n_a"),
+        F.count_if(F.col(side_col) == b).alias("n_b"))
+
+
+def ks_from_totals(cum: DataFrame) -> DataFrame:
+    """(feature, ks) from running totals of n_a and n_b; null if a side is empty."""
+    def cdf(w: str) -> Column:
+        return F.try_divide(F.col(f"cum_{w}").cast("double"), F.col(f"total_{w}"))
+    return cum.groupBy("feature").agg(F.max(F.abs(cdf("n_a") - cdf("n_b"))).alias("ks"))
+
+
+def ks_from_counts(counts: DataFrame) -> DataFrame:
+    """(feature, ks) from (feature, value, n_a, n_b)."""
+    return ks_from_totals(running_totals(counts, ["feature"], "value", ["n_a", "n_b"]))
+
+
 def ks_from_long(sided: DataFrame, side_col: str = "side", a: str = "a",
                  b: str = "b") -> DataFrame:
     """(feature, ks) from a long frame (feature, value, side)."""
-    counts = present(sided).groupBy("feature", "value").agg(
-        F.count_if(F.col(side_col) == a).alias("n_a"),
-        F.count_if(F.col(side_col) == b).alias("n_b"))
-    cum = running_totals(counts, ["feature"], "value", ["n_a", "n_b"])
-    gap = F.abs(F.try_divide(F.col("cum_n_a").cast("double"), F.col("total_n_a"))
-                - F.try_divide(F.col("cum_n_b").cast("double"), F.col("total_n_b")))
-    return cum.groupBy("feature").agg(F.max(gap).alias("ks"))
+    return ks_from_counts(sided_counts(sided, side_col, a, b))
 
 
 def ks_statistic(expected: DataFrame, actual: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -79,14 +104,18 @@ def ks_statistic(expected: DataFrame, actual: DataFrame, features: Sequence[str]
     return ks_from_long(sided)
 
 
-def ks_against_values(expected_values: DataFrame, actual: DataFrame,
-                      features: Sequence[str]) -> DataFrame:
-    """(feature, ks) of wide `actual` against stored (feature, value) rows, e.g. a
-    baseline sample."""
-    sided = (expected_values.select("feature", F.col("value").cast("double"))
-             .withColumn("side", F.lit("a"))
-             .unionByName(to_long(actual, features).withColumn("side", F.lit("b"))))
-    return ks_from_long(sided)
+def ks_against_baseline(baseline: DataFrame, actual: DataFrame, features: Sequence[str]
+                        ) -> DataFrame:
+    """(feature, ks) of wide `actual` against all values of a stored baseline
+    (feature, value, n), see `profile.baseline_values`."""
+    none = F.lit(0).cast("bigint")
+    new = present(to_long(actual, features)).groupBy("feature", "value").agg(
+        none.alias("n_a"), F.count(F.lit(1)).alias("n_b"))
+    old = baseline.select("feature", F.col("value").cast("double").alias("value"),
+                          F.col("n").alias("n_a"), none.alias("n_b"))
+    both = old.unionByName(new).groupBy("feature", "value").agg(
+        F.sum("n_a").alias("n_a"), F.sum("n_b").alias("n_b"))
+    return ks_from_counts(both)
 
 
 def report(psi_df: DataFrame, ks_df: DataFrame, digits: int | None = 4) -> DataFrame:
@@ -106,9 +135,20 @@ def drift_report(reference: DataFrame, new: DataFrame, features: Sequence[str],
     return report(psi(new, features, profile), ks_statistic(reference, new, features), digits)
 
 
-def scale_columns(df: DataFrame, factors: Mapping[str, float]) -> DataFrame:
-    """What-if scaling of columns (drift simulation): one projection."""
-    return df.withColumns({c: F.col(c) * F.lit(float(f)) for c, f in factors.items()})
+def drift_from_baseline(new: DataFrame, features: Sequence[str], profile: DataFrame,
+                        values: DataFrame, digits: int | None = 4) -> DataFrame:
+    """One row per feature: drift of `new` from a stored baseline (its profile and its value
+    counts), without reading the reference data again."""
+    return report(psi(new, features, profile), ks_against_baseline(values, new, features), digits)
+
+
+def scale_columns(df: DataFrame, factors: Mapping[str, float], where: Column | None = None
+                  ) -> DataFrame:
+    """What-if scaling of columns (drift simulation), of the rows `where` is true of."""
+    def scaled(c: str, f: float) -> Column:
+        by = F.col(c) * F.lit(float(f))
+        return by if where is None else F.when(where, by).otherwise(F.col(c))
+    return df.withColumns({c: scaled(c, f) for c, f in factors.items()})
 
 
 def alerts(report_df: DataFrame) -> DataFrame:
@@ -116,24 +156,18 @@ def alerts(report_df: DataFrame) -> DataFrame:
     return report_df.filter(F.col("status") == ALERT)
 
 
-def window_drift(reference: DataFrame, new: DataFrame, features: Sequence[str],
-                 n_bins: int = 10, digits: int | None = 4) -> DataFrame:
-    """The whole drift report — reference deciles, both histograms, PSI, exact KS —
-    from one aggregation of the data.
+def window_drift(labelled: DataFrame, features: Sequence[str], label_col: str = "window",
+                 reference: str = "reference", new: str = "new", n_bins: int = 10,
+                 digits: int | None = 4) -> DataFrame:
+    """(feature, psi, ks, status, bins): the drift of the rows labelled `new` from those
+    labelled `reference`, from one aggregation of the data.
 
-    The rows are reduced once to (feature, value, n_ref, n_new); one running-totals
-    pass gives the reference quantiles (the bin edges) and both empirical CDFs
-    (KS); the histograms are sums of the per-value counts by bin. Neither window
-    is read again, whereas profile + PSI + KS separately read the reference three
-    times and the new window twice. (feature, psi, ks, status, bins).
+    The rows are reduced once to (feature, value, n_a, n_b), stored in value order. One pass
+    of running totals over that gives the reference quantiles (the bin edges) and both
+    empirical CDFs (KS); the histograms are sums of the per-value counts by bin.
     """
-    from tidemark.operators.profile import MAX_EDGES, assign_bins, bin_grid, feature_list
-
-    sided = (to_long(reference, features).withColumn("side", F.lit("a"))
-             .unionByName(to_long(new, features).withColumn("side", F.lit("b"))))
-    counts = present(sided).groupBy("feature", "value").agg(
-        F.count_if(F.col("side") == "a").alias("n_a"),
-        F.count_if(F.col("side") == "b").alias("n_b"))
+    long = to_long(labelled, features, keep=[label_col])
+    counts = in_pieces(sided_counts(long, label_col, reference, new), ["feature"], "value")
     cum = running_totals(counts, ["feature"], "value", ["n_a", "n_b"])
 
     # reference deciles: smallest value whose reference running count reaches
@@ -142,22 +176,18 @@ def window_drift(reference: DataFrame, new: DataFrame, features: Sequence[str],
     hits = quantile_hits(F.col("total_n_a"), F.col("cum_n_a"), F.col("n_a"), probs)
     found = (cum.filter(F.size(hits) > 0)
              .groupBy("feature").agg(F.array_sort(F.collect_list("value")).alias("edges")))
-    edges = feature_list(reference.sparkSession, features).join(
-        F.broadcast(found), "feature", "left").select(
+    edges = feature_list(labelled.sparkSession, features).join(found, "feature", "left").select(
         "feature", F.when(F.coalesce(F.size("edges"), F.lit(0)) > 0, F.col("edges"))
         .otherwise(F.array(F.lit(0.0))).alias("edges"))
 
-    per_bin = (assign_bins(counts, edges, min(MAX_EDGES, n_bins - 1))
-               .groupBy("feature", "bin")
+    per_bin = (assign_bins(counts.drop(PIECE), edges, len(features)).groupBy("feature", "bin")
                .agg(F.sum("n_a").alias("expected_count"), F.sum("n_b").alias("actual_count")))
     dense = (bin_grid(edges).join(per_bin, ["feature", "bin"], "left")
              .fillna(0, ["expected_count", "actual_count"]))
     shares = with_shares(with_shares(dense, "expected_count", "expected_pct"),
                          "actual_count", "actual_pct")
-    psi_df = psi_from_bins(shares, shares)
-
-    gap = F.abs(F.try_divide(F.col("cum_n_a").cast("double"), F.col("total_n_a"))
-                - F.try_divide(F.col("cum_n_b").cast("double"), F.col("total_n_b")))
-    ks_df = cum.groupBy("feature").agg(F.max(gap).alias("ks"))
-    out = report(psi_df, ks_df, digits)
+    psi_df = shares.groupBy("feature").agg(
+        psi_terms(F.col("expected_pct"), F.col("actual_pct")).alias("psi"),
+        F.count(F.lit(1)).alias("bins"))
+    out = report(psi_df, ks_from_totals(cum), digits)
     return out.join(psi_df.select("feature", "bins"), "feature")

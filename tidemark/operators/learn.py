@@ -2,13 +2,14 @@
 
 Training runs distributed in the JVM (Spark ML). The split is a hash split on a
 row key (`split` column, see `plans.datasets.with_split`), so it is the same for
-every run and every partitioning. The assembled training set is persisted once
-for the iterative estimators and released afterwards.
+every run and every partitioning. The training rows are assembled into feature
+vectors once, and these are persisted for the iterative estimators and released
+afterwards; the hold-out metrics of all models come from one pass over the test rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -46,21 +47,31 @@ def fit(train: DataFrame, features: Sequence[str], target: str, name: str,
         train.select(*features, target))
 
 
-@dataclass
+@dataclass(frozen=True)
 class TrainResult:
     name: str
     order: int
     model: PipelineModel
-    metrics: DataFrame  # one row: n_rows, rmse, mae (lazy)
-
-
-def hold_out_metrics(model: PipelineModel, test: DataFrame, target: str) -> DataFrame:
-    """(n_rows, rmse, mae) of the model on `test`, one aggregation."""
-    err = F.col(target) - F.col("prediction")
-    return model.transform(test).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.sqrt(F.avg(err * err)).alias("rmse"),
-        F.avg(F.abs(err)).alias("mae"))
+    n_rows: int
+    rmse: float
+    mae: float
+
+
+def hold_out_metrics(models: Mapping[str, PipelineModel], test: DataFrame, target: str
+                     ) -> dict[str, tuple[int, float, float]]:
+    """(n_rows, rmse, mae) of every model on `test`, one aggregation for all of them."""
+    scored = test
+    for i, model in enumerate(models.values()):
+        scored = model.transform(scored).select(
+            *scored.columns, F.col("prediction").alias(f"_p{i}"))
+    aggs = []
+    for i in range(len(models)):
+        err = F.col(target) - F.col(f"_p{i}")
+        aggs += [F.count(f"_p{i}").alias(f"n{i}"), F.sqrt(F.avg(err * err)).alias(f"rmse{i}"),
+                 F.avg(F.abs(err)).alias(f"mae{i}")]
+    row = scored.agg(*aggs).first()
+    return {name: (row[f"n{i}"], row[f"rmse{i}"], row[f"mae{i}"])
+            for i, name in enumerate(models)}
 
 
 def train_models(split: DataFrame, features: Sequence[str], target: str,
@@ -72,39 +83,32 @@ def train_models(split: DataFrame, features: Sequence[str], target: str,
     for n in names:
         estimator(n, target)  # validates names before any job runs
     cols = [*features, target]
-    train = split.filter(F.col("split") == "train").select(*cols).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    test = split.filter(F.col("split") == "test").select(*cols)
+    vectors = assembler(features)
+    train = vectors.transform(split.filter(F.col("split") == "train").select(*cols)).select(
+        "features", target).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        out = {}
-        for i, name in enumerate(names):
-            model = fit(train, features, target, name, seed)
-            out[name] = TrainResult(name, i, model, hold_out_metrics(model, test, target))
-        return out
+        models = {n: PipelineModel([vectors, estimator(n, target, seed).fit(train)])
+                  for n in names}
     finally:
         train.unpersist()
+    test = split.filter(F.col("split") == "test").select(*cols)
+    metrics = hold_out_metrics(models, test, target)
+    return {n: TrainResult(n, i, models[n], *metrics[n]) for i, n in enumerate(names)}
 
 
-def results_frame(spark: SparkSession, results: dict[str, TrainResult]) -> DataFrame:
-    """(model, model_order, n_rows, rmse, mae, is_best): the hold-out metrics of all
-    models (lazy aggregations over the test data), best = smallest RMSE, first
-    listed on ties."""
-    frames = [r.metrics.select(F.lit(r.name).alias("model"),
-                               F.lit(r.order).alias("model_order"), "*")
-              for r in results.values()]
-    allm = frames[0]
-    for f in frames[1:]:
-        allm = allm.unionByName(f)
-    best = allm.agg(F.min_by("model", F.struct("rmse", "model_order"))).scalar()
-    return allm.withColumn("is_best", F.col("model") == best)
-
-
-def best_name(results: dict[str, TrainResult]) -> tuple[str, float, float]:
-    """(name, rmse, mae) of the best model; collects one small row per model."""
-    rows = sorted(((r.metrics.first(), r.order, r.name) for r in results.values()),
-                  key=lambda t: (t[0]["rmse"], t[1]))
-    m, _, name = rows[0]
-    return name, float(m["rmse"]), float(m["mae"])
+def best_result(results: Mapping[str, TrainResult]) -> TrainResult:
+    """The smallest RMSE, the first listed on ties."""
+    return min(results.values(), key=lambda r: (r.rmse, r.order))
+
+
+def results_frame(spark: SparkSession, results: Mapping[str, TrainResult]) -> DataFrame:
+    """(model, model_order, n_rows, rmse, mae, is_best), one row per model."""
+    best = best_result(results).name
+    return spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(r.name).alias("model"), F.lit(r.order).alias("model_order"),
+                 F.lit(r.n_rows).cast("bigint").alias("n_rows"), F.lit(r.rmse).alias("rmse"),
+                 F.lit(r.mae).alias("mae"), F.lit(r.name == best).alias("is_best"))
+        for r in results.values()])))
 
 
 def coefficients(spark: SparkSession, model: PipelineModel,

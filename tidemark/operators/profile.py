@@ -16,14 +16,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import hash_prefix, is_present, row_hash, with_count_at_most
-from tidemark.operators.cumulative import exact_quantiles
+from tidemark.functions.exprs import count_at_most, is_present, row_hash
+from tidemark.operators.cumulative import exact_quantiles, value_counts
 
 APPROX_ACCURACY = 1000  # relative error 0.001
 DEFAULT_BINS = 10
-MAX_EDGES = 64  # inner edges per feature the bin search covers (bins - 1 <= 64)
-SAMPLE_SIZE = 2000
-_PREFIX_DIGITS = 5  # 16**5 ≈ 1M hash buckets for the bottom-k threshold
+SAMPLE_SIZE = 2000  # rows that the sampling operator returns
+BROADCAST_FEATURES = 100_000  # edge tables of more features are joined without a broadcast
 
 
 def to_long(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -57,7 +56,7 @@ def quantile_edges(df: DataFrame, features: Sequence[str], n_bins: int = DEFAULT
         per = long.groupBy("feature").agg(F.array_sort(F.array_distinct(
             F.percentile_approx("value", probs, APPROX_ACCURACY))).alias("edges"))
     names = feature_list(df.sparkSession, features)
-    return names.join(F.broadcast(per), "feature", "left").select(
+    return names.join(per, "feature", "left").select(
         "feature",
         F.when(F.coalesce(F.size("edges"), F.lit(0)) > 0, F.col("edges"))
         .otherwise(F.array(F.lit(0.0))).alias("edges"))
@@ -69,12 +68,13 @@ def edges_long(edges: DataFrame) -> DataFrame:
         "feature", (F.col("pos") + 1).alias("edge_no"), "edge")
 
 
-def assign_bins(long: DataFrame, edges: DataFrame, max_edges: int = MAX_EDGES) -> DataFrame:
-    """Add `bin` = number of edges <= value. `edges` has one row per feature (a
-    bounded table: #features × #bins doubles), so it is broadcast."""
-    joined = long.join(F.broadcast(edges), "feature")
-    return with_count_at_most(joined, "bin", F.col("edges"), F.col("value"),
-                              max_edges).drop("edges")
+def assign_bins(long: DataFrame, edges: DataFrame, n_features: int | None = None) -> DataFrame:
+    """Add `bin` = number of edges <= value. `edges` has one row per feature; it is broadcast
+    if the caller states that the features are few enough, else Spark decides."""
+    if n_features is not None and n_features <= BROADCAST_FEATURES:
+        edges = F.broadcast(edges)
+    joined = long.join(edges, "feature")
+    return joined.withColumn("bin", count_at_most(F.col("edges"), F.col("value"))).drop("edges")
 
 
 def bin_grid(edges: DataFrame) -> DataFrame:
@@ -92,7 +92,7 @@ def bin_grid(edges: DataFrame) -> DataFrame:
 def bin_counts(df: DataFrame, features: Sequence[str], edges: DataFrame) -> DataFrame:
     """(feature, bin, lower, upper, count): dense histogram of `df` on `edges`."""
     long = present(to_long(df, features))
-    counted = assign_bins(long, edges).groupBy("feature", "bin").agg(
+    counted = assign_bins(long, edges, len(features)).groupBy("feature", "bin").agg(
         F.count(F.lit(1)).alias("count"))
     return (bin_grid(edges).join(counted, ["feature", "bin"], "left")
             .withColumn("count", F.coalesce(F.col("count"), F.lit(0).cast("bigint"))))
@@ -119,36 +119,23 @@ def profile_edges(profile: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list("lower")).alias("edges"))
 
 
+def baseline_values(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(feature, value, n): how often each present value occurs. Stored with a baseline, it
+    lets a later KS test compare with all of it."""
+    return value_counts(to_long(df, features), ["feature"], "value")
+
+
 def sample_values(df: DataFrame, features: Sequence[str], key_cols: Sequence[str],
                   k: int = SAMPLE_SIZE) -> DataFrame:
     """(feature, value): per feature the k present values whose rows have the smallest
     md5 of `key_cols` (ties by value) — a deterministic sample that does not depend
     on partitioning.
 
-    Distributed bottom-k: count rows per leading-hash bucket (≈1M buckets, a
-    small table), find per feature the first bucket where the running count
-    reaches k, keep only rows up to it (≈ k + n/1M rows per feature),
-    pre-aggregate identical (hash, value) pairs, rank, and expand repeats.
+    A rank limit by feature: each task keeps its own k best before the shuffle (window
+    group limit), so k rows per task and feature move.
     """
     keyed = df.select(row_hash(*key_cols).alias("_h"), *features)
-    long = present(to_long(keyed, features, keep=["_h"])).withColumn(
-        "_b", hash_prefix(F.col("_h"), _PREFIX_DIGITS))
-    per_bucket = long.groupBy("feature", "_b").agg(F.count(F.lit(1)).alias("_n"))
-    upto = Window.partitionBy("feature").orderBy("_b").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    threshold = (
-        per_bucket.withColumn("_cum", F.sum("_n").over(upto))
-        .groupBy("feature")
-        .agg(F.coalesce(F.min(F.when(F.col("_cum") >= k, F.col("_b"))), F.max("_b"))
-             .alias("_limit"))
-    )
-    kept = (long.join(F.broadcast(threshold), "feature")
-            .filter(F.col("_b") <= F.col("_limit"))
-            .groupBy("feature", "_h", "value").agg(F.count(F.lit(1)).alias("_c")))
-    order = Window.partitionBy("feature").orderBy("_h", "value").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    ranked = kept.withColumn("_before", F.sum("_c").over(order) - F.col("_c"))
-    return (ranked.filter(F.col("_before") < k)
-            .select("feature", F.explode(F.array_repeat(
-                "value", F.least(F.col("_c"), F.lit(k) - F.col("_before")).cast("int")))
-                .alias("value")))
+    long = present(to_long(keyed, features, keep=["_h"]))
+    order = Window.partitionBy("feature").orderBy("_h", "value")
+    return (long.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= k)
+            .select("feature", "value"))

@@ -12,24 +12,27 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.rules import Rule, all_pass, broken_rules_text
 
+# The status of a served request, and the body's field of records.
 OK_STATUS = 200
+RECORDS = "dataframe_records"
 
 
-def request_schema(features: Sequence[str]) -> str:
-    return "dataframe_records ARRAY<STRUCT<{}>>".format(
-        ", ".join(f"`{f}`: DOUBLE" for f in features))
+def request_schema(features: Sequence[str]) -> T.StructType:
+    """Type of a request body: one struct of doubles per record."""
+    record = T.StructType([T.StructField(f, T.DoubleType()) for f in features])
+    return T.StructType([T.StructField(RECORDS, T.ArrayType(record))])
 
 
 def parse_requests(payload: DataFrame, features: Sequence[str],
                    time_col: str = "request_time") -> DataFrame:
     """One row per record of every successful request: (request_time, features...)."""
-    parsed = (payload.filter(F.col("status_code") == OK_STATUS)
-              .select(time_col, F.from_json("request", request_schema(features)).alias("r")))
-    return (parsed.select(time_col, F.explode("r.dataframe_records").alias("rec"))
-            .select(time_col, *[F.col(f"rec.`{f}`").alias(f) for f in features]))
+    served = payload.where(F.col("status_code") == OK_STATUS)
+    body = F.from_json("request", request_schema(features))
+    return served.select(time_col, F.inline(body.getField(RECORDS)))
 
 
 def lookback(payload: DataFrame, minutes: int, as_of: Column | None = None,
@@ -69,19 +72,19 @@ def validate(records: DataFrame, rules: Sequence[Rule] | None = None) -> DataFra
 
 
 def request_report(records: DataFrame, features: Sequence[str], profile: DataFrame,
-                   sample: DataFrame, window_minutes: int, min_rows: int,
+                   values: DataFrame, window_minutes: int, min_rows: int,
                    digits: int | None = 4) -> DataFrame:
-    """Drift of logged records: PSI on the training profile, KS against the stored
-    baseline sample, tagged with the record count and look-back. Empty when fewer
-    than `min_rows` records arrived (no verdict on too little traffic).
+    """Drift of logged records from a stored baseline: PSI on the training profile, exact KS
+    against all of the baseline's values (feature, value, n), tagged with the record count
+    and look-back. Empty when fewer than `min_rows` records arrived (no verdict on too
+    little traffic).
 
     The count is a scalar subquery, so the gate needs no separate action.
     """
     from tidemark.operators import drift as D
 
     n_rows = records.agg(F.count(F.lit(1))).scalar()
-    rep = D.report(D.psi(records, features, profile),
-                   D.ks_against_values(sample, records, features), digits)
+    rep = D.drift_from_baseline(records, features, profile, values, digits)
     return (rep.withColumns({"n_rows": n_rows,
                              "window_minutes": F.lit(int(window_minutes))})
             .filter(F.col("n_rows") >= min_rows))

@@ -1,19 +1,33 @@
-"""Product datasets built from the shared test tables, as lazy DataFrames.
+"""Product datasets built from the shared test tables.
 
 These are what the jobs would read from tables; for the checked queries they
 are derived from the raw parquet on every call so that all work grows with
-the input.
+the input. Where a row set is read more than once (silver: by the cutoff and by
+its consumers) building it runs a job that writes it to the shared folder;
+everything else is lazy.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import hash_bucket, row_hash
-from tidemark.operators.clean import TRIP_FEATURES, TRIP_TARGET, clean, trip_spec
+from tidemark.functions.exprs import hash_bucket, millionths, row_hash
+from tidemark.operators.clean import (
+    TRIP_COLUMNS,
+    TRIP_FEATURES,
+    TRIP_TARGET,
+    clean,
+    trip_spec,
+)
 from tidemark.operators.scoring import LinearModel
-from tidemark.operators.timeline import DEFAULT_FRACTION, NEW, REFERENCE, label_windows
+from tidemark.operators.timeline import (
+    DEFAULT_FRACTION,
+    NEW,
+    REFERENCE,
+    label_windows,
+    time_cutoff,
+)
 from tidemark.sources.adapters import (
     LINEITEM_FEATURES,
     lineitem_drift_source,
@@ -43,6 +57,7 @@ SIMULATION = {"trip_distance": 3.0, "duration_min": 3.0}
 TRAIN_BUCKETS = 8  # of 10: an 80/20 hash split
 LOOKBACK_MINUTES = 1440
 MIN_REQUEST_ROWS = 30
+ALIAS_OF_STATUS = {"F": "champion", "O": "challenger", "P": "shadow"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,70 +69,61 @@ def trips(spark: SparkSession, sf_dir: str, copies: bool = False) -> DataFrame:
     return trips_with_copies(events) if copies else trips_from_events(events)
 
 
-def build_silver(source: DataFrame, fraction: float = DEFAULT_FRACTION, exact: bool = True,
-                 materialized: bool = True) -> DataFrame:
+def labelled(rows: DataFrame, time_column: str, fraction: float = DEFAULT_FRACTION,
+             exact: bool = True) -> DataFrame:
+    """`rows` with their window label; the cutoff is computed once (one stored row)."""
+    cutoff = materialize(time_cutoff(rows, time_column, fraction, exact)).scalar()
+    return label_windows(rows, time_column, cutoff=cutoff)
+
+
+def build_silver(source: DataFrame, fraction: float = DEFAULT_FRACTION, exact: bool = True
+                 ) -> DataFrame:
     """Source trips → typed, cleaned, de-duplicated, labelled silver.
 
-    Materialized (default) like the silver job's table: the distinct rows are
-    checkpointed once (the cutoff and the labels both read them), then the
-    labelled rows (every downstream branch reads them), so the source is
-    scanned and parsed once and downstream plans stay small.
+    The distinct rows are written once (columnar); the cutoff and all consumers read them,
+    the label is a projection.
     """
     spec = trip_spec()
-    cleaned = clean(source, spec)
-    if not materialized:
-        return label_windows(cleaned, spec.time_column, fraction, exact)
-    return materialize(label_windows(materialize(cleaned), spec.time_column, fraction, exact))
+    return labelled(materialize(clean(source, spec)), spec.time_column, fraction, exact)
 
 
-def silver(spark: SparkSession, sf_dir: str, copies: bool = True,
-           materialized: bool = True) -> DataFrame:
+def silver(spark: SparkSession, sf_dir: str, copies: bool = True) -> DataFrame:
     """Silver of the trips adapter (exact 0.7 time cutoff), see `build_silver`."""
-    return build_silver(trips(spark, sf_dir, copies), materialized=materialized)
+    return build_silver(trips(spark, sf_dir, copies))
 
 
 def window(df: DataFrame, label: str) -> DataFrame:
     return df.filter(F.col("window") == label)
 
 
-def trip_key(df: DataFrame):
-    """Row key of a silver trip: pickup time in microseconds (unique per trip)."""
-    return F.unix_micros(df["pickup_ts"])
+def trip_key() -> list[Column]:
+    """Row key of a silver trip: all its columns as whole numbers (silver rows are
+    distinct, a time alone is not)."""
+    return [F.unix_micros("pickup_ts"), *[millionths(c) for c in TRIP_COLUMNS[1:]]]
 
 
 def with_split(df: DataFrame) -> DataFrame:
     """Deterministic 80/20 split on md5 of the trip key (partitioning-independent)."""
-    bucket = hash_bucket(row_hash(F.unix_micros("pickup_ts")), 10)
+    bucket = hash_bucket(row_hash(*trip_key()), 10)
     return df.withColumn("split", F.when(bucket < TRAIN_BUCKETS, F.lit("train"))
                          .otherwise(F.lit("test")))
 
 
-def reference(spark, sf_dir, materialized: bool = True):
-    return window(silver(spark, sf_dir, materialized=materialized), REFERENCE)
+def signature_rows(df: DataFrame, n: int = 200) -> DataFrame:
+    """The `n` rows with the smallest md5 of the trip key: the example of a signature."""
+    return df.orderBy(row_hash(*trip_key())).limit(n)
 
 
-def new(spark, sf_dir, materialized: bool = True):
-    return window(silver(spark, sf_dir, materialized=materialized), NEW)
+def reference(spark, sf_dir):
+    return window(silver(spark, sf_dir), REFERENCE)
 
 
-def lineitem_labelled(spark: SparkSession, sf_dir: str, materialized: bool = True
-                      ) -> DataFrame:
-    src = lineitem_drift_source(table(spark, sf_dir, "lineitem"))
-    out = label_windows(src, "ship_ts")
-    if not materialized:
-        return out
-    # no shuffle precedes the checkpoint: spread a single-split scan first so the
-    # checkpoint (and every query reading it) is not one task
-    # (the check looks at the scan alone, which plans without running a job)
-    want = _spread_target(src)
-    return materialize(out.repartition(want) if want else out)
+def new(spark, sf_dir):
+    return window(silver(spark, sf_dir), NEW)
 
 
-def _spread_target(src: DataFrame) -> int | None:
-    """Default parallelism when the scan has fewer splits than that, else None."""
-    from tidemark.session import default_parallelism, planned_partitions
-    have, want = planned_partitions(src), default_parallelism(src.sparkSession)
-    return want if have is not None and want is not None and have < want else None
+def lineitem_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labelled(lineitem_drift_source(table(spark, sf_dir, "lineitem")), "ship_ts")
 
 
 def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,13 +145,12 @@ def model_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alias moves derived from `orders`: status F moved `champion`, O moved
-    `challenger` to the order's version on its date."""
-    o = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus").isin("F", "O"))
-    return o.select(
+    """Alias moves derived from `orders`: status F moved `champion`, O `challenger` and P
+    `shadow` to the order's version on its date."""
+    alias = F.create_map(*[F.lit(x) for pair in ALIAS_OF_STATUS.items() for x in pair])
+    return table(spark, sf_dir, "orders").select(
         F.col("o_orderpriority").alias("model_name"),
-        F.when(F.col("o_orderstatus") == "F", F.lit("champion"))
-        .otherwise(F.lit("challenger")).alias("alias"),
+        alias[F.col("o_orderstatus")].alias("alias"),
         (F.col("o_orderkey") + 1).alias("version"),
         F.col("o_orderdate").cast("timestamp").alias("set_at"),
     )

@@ -2,22 +2,21 @@
 
     ingest → silver → train → score → monitor      (+ request-log monitor)
 
-Each job reads tables, builds one lazy plan per output and writes it. Report
-tables are append-only; model versions and alias moves are append-only rows,
-so no table is overwritten while it is read. Gates raise after the report
-rows are stored.
+Each job reads tables, builds one plan per output and writes it. Report tables are
+append-only; model versions and alias moves are append-only rows, so no table is
+overwritten while it is read. The quality gate fires before silver is replaced;
+drift and error gates fire after their report rows are stored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import row_hash
 from tidemark.operators import drift as D
 from tidemark.operators import gates as G
 from tidemark.operators import learn
@@ -26,7 +25,8 @@ from tidemark.operators import registry as R
 from tidemark.operators import requests as Q
 from tidemark.operators import scoring as S
 from tidemark.operators.clean import add_ingest_time, clean, trip_spec
-from tidemark.operators.timeline import DEFAULT_FRACTION, NEW, REFERENCE, label_windows
+from tidemark.operators.timeline import DEFAULT_FRACTION, NEW, REFERENCE
+from tidemark.plans import datasets as ds
 from tidemark.sources.names import TableNames
 from tidemark.sources.tables import (
     append_table,
@@ -43,7 +43,9 @@ class JobConfig:
     fraction: float = DEFAULT_FRACTION
     exact_cutoff: bool = False          # approx quantile (error 0.001) at scale
     n_bins: int = 10
-    sample_size: int = P.SAMPLE_SIZE
+    sample_size: int = P.SAMPLE_SIZE    # rows of the stored sample (drift uses all values)
+    signature_size: int = 200
+    engine: str = "spark"
     seed: int = learn.DEFAULT_SEED
     min_rows: int = G.MIN_ROWS
     max_drop_ratio: float = G.MAX_DROP_RATIO
@@ -68,81 +70,79 @@ def run_ingest(spark: SparkSession, names: TableNames, source: DataFrame) -> int
 
 # ------------------------------------------------------------------ silver
 def run_silver(spark: SparkSession, names: TableNames, cfg: JobConfig = JobConfig()) -> dict:
-    """Bronze → silver partitioned by window; applies the quality gate.
-
-    The distinct rows are checkpointed once so that the cutoff quantile and the
-    labelled write read them without repeating the de-duplication shuffle.
-    """
+    """Bronze → silver partitioned by window. The quality gate judges the cleaned rows
+    before they replace the table: a bad load leaves the last good silver in place."""
     spec = trip_spec()
     bronze = spark.table(names.bronze)
-    rows_in = bronze.count()  # answered from parquet metadata
-    cleaned = materialize(clean(bronze, spec))
-    labelled = label_windows(cleaned, spec.time_column, cfg.fraction, cfg.exact_cutoff)
-    rows_out = overwrite_table(labelled, names.silver, partition_by=["window"])
-    return G.check_quality(rows_in, rows_out, cfg.max_drop_ratio, cfg.min_rows)
+    rows = materialize(clean(bronze, spec))
+    verdict = G.enforce_quality(G.table_counts(bronze, rows), cfg.min_rows, cfg.max_drop_ratio)
+    labelled = ds.labelled(rows, spec.time_column, cfg.fraction, cfg.exact_cutoff)
+    overwrite_table(labelled, names.silver, partition_by=["window"])
+    return verdict
 
 
 def _silver_window(spark: SparkSession, names: TableNames, label: str) -> DataFrame:
     return spark.table(names.silver).filter(F.col("window") == label)
 
 
-def split_column(key: Column, train_buckets: int = 8) -> Column:
-    return F.when(F.conv(F.substring(row_hash(key), 1, 8), 16, 10).cast("bigint") % 10
-                  < train_buckets, F.lit("train")).otherwise(F.lit("test"))
+# ------------------------------------------------------------------ train
+def _next_version(spark: SparkSession, names: TableNames) -> int:
+    if not _exists(spark, names.model_versions):
+        return 1
+    last = spark.table(names.model_versions).filter(F.col("model_name") == names.model_name).agg(
+        F.max("version")).first()[0]
+    return int(last or 0) + 1
 
 
-# ------------------------------------------------------------------ train
 def run_train(spark: SparkSession, names: TableNames, cfg: JobConfig = JobConfig(),
               estimators: Sequence[str] = learn.ESTIMATORS) -> dict:
-    """Train on the reference window, store the best model as a new version with
-    its metrics, baseline profile and sample, and move an alias to it."""
+    """Train on the reference window; store the best model as a new version with its run
+    (metrics and parameters), baseline (profile, all value counts, sample) and signature
+    rows, and move an alias to it."""
     spec = trip_spec()
     features, target = list(spec.features), spec.target
     ref = _silver_window(spark, names, REFERENCE)
-    split = ref.withColumn("split", split_column(F.unix_micros("pickup_ts")))
-    results = learn.train_models(split, features, target, estimators, cfg.seed)
-    best, rmse, mae = learn.best_name(results)
-
-    versions_exist = _exists(spark, names.model_versions)
-    version = 1
-    if versions_exist:
-        last = (spark.table(names.model_versions)
-                .filter(F.col("model_name") == names.model_name)
-                .agg(F.max("version")).first()[0])
-        version = int(last or 0) + 1
+    results = learn.train_models(ds.with_split(ref), features, target, estimators, cfg.seed,
+                                 cfg.engine)
+    best = learn.best_result(results)
+    first_version = not _exists(spark, names.model_versions)
+    version = _next_version(spark, names)
     run_id = f"{names.model_name}-v{version}"
     path = _model_path(spark, names, cfg, version)
-    results[best].model.write().overwrite().save(path)
-
-    runs = learn.results_frame(spark, results).select(
-        F.lit(run_id).alias("run_id"), "model", "rmse", "mae", "is_best")
-    append_table(runs, names.model_runs)
-
-    ref_values = spark.table(names.silver).filter(F.col("window") == REFERENCE)
-    profile = P.baseline_profile(ref_values, features, cfg.n_bins, exact=False)
-    append_table(profile.withColumn("model_version", F.lit(version).cast("bigint")),
-                 names.baseline_bins)
-    sample = P.sample_values(ref_values.withColumn("_k", F.unix_micros("pickup_ts")),
-                             features, ["_k"], cfg.sample_size)
-    append_table(sample.withColumn("model_version", F.lit(version).cast("bigint")),
-                 names.baseline_sample)
+    best.model.write().overwrite().save(path)
+
+    runs = learn.results_frame(spark, results).select("model", "rmse", "mae", "is_best")
+    append_table(runs.withColumns({
+        "run_id": F.lit(run_id), "engine": F.lit(cfg.engine), "best_model": F.lit(best.name),
+        "silver_table": F.lit(names.silver)}), names.model_runs)
+
+    tag = {"model_version": F.lit(version).cast("bigint")}
+    signature = S.score(ds.signature_rows(ref, cfg.signature_size), best.model, features=features)
+    keyed = ref.withColumns({f"_k{i}": c for i, c in enumerate(ds.trip_key())})
+    keys = [c for c in keyed.columns if c.startswith("_k")]
+    for table, rows in (
+            (names.baseline_bins, P.baseline_profile(ref, features, cfg.n_bins, exact=False)),
+            (names.baseline_values, P.baseline_values(ref, features)),
+            (names.baseline_sample, P.sample_values(keyed, features, keys, cfg.sample_size)),
+            (names.model_signatures, signature.select(*features, "prediction"))):
+        append_table(rows.withColumns(tag), table)
 
     new_version = spark.range(1).select(
         F.lit(names.model_name).alias("model_name"), F.lit(version).cast("bigint").alias("version"),
-        F.lit(run_id).alias("run_id"), F.lit(rmse).alias("rmse"), F.lit(mae).alias("mae"),
-        F.lit(path).alias("path"), F.lit(best).alias("model"),
+        F.lit(run_id).alias("run_id"), F.lit(best.rmse).alias("rmse"), F.lit(best.mae).alias("mae"),
+        F.lit(path).alias("path"), F.lit(best.name).alias("model"),
         F.current_timestamp().alias("created_at"))
-    if _exists(spark, names.model_aliases) and versions_exist:
+    alias = R.CHAMPION
+    if not first_version and _exists(spark, names.model_aliases):
         decision = R.promotion_decision(
             spark.table(names.model_versions).unionByName(new_version, allowMissingColumns=True),
             spark.table(names.model_aliases),
             candidates=new_version.select("model_name", "version", "rmse"))
         alias = decision.select("decision").first()[0]
-    else:
-        alias = R.CHAMPION
     append_table(new_version, names.model_versions)
     append_table(R.alias_row(spark, names.model_name, alias, version), names.model_aliases)
-    return {"version": version, "model": best, "rmse": rmse, "mae": mae, "alias": alias}
+    return {"version": version, "model": best.name, "rmse": best.rmse, "mae": best.mae,
+            "alias": alias}
 
 
 def alias_version(spark: SparkSession, names: TableNames, alias: str) -> dict:
@@ -169,45 +169,40 @@ def run_score(spark: SparkSession, names: TableNames, alias: str = R.CHAMPION) -
 
 
 # ------------------------------------------------------------------ monitor
-def _baseline(spark: SparkSession, names: TableNames, version: int):
-    bins = spark.table(names.baseline_bins).filter(F.col("model_version") == version)
-    sample = spark.table(names.baseline_sample).filter(F.col("model_version") == version)
-    return bins, sample
+def _baseline(spark: SparkSession, names: TableNames, version: int
+              ) -> tuple[DataFrame, DataFrame]:
+    """Stored profile and value counts of a version."""
+    bins, values = (spark.table(t).filter(F.col("model_version") == version)
+                    for t in (names.baseline_bins, names.baseline_values))
+    return bins, values
 
 
 def run_monitor(spark: SparkSession, names: TableNames, alias: str = R.CHAMPION,
-                simulate_factor: float = 1.0, fail_on_alert: bool = False) -> DataFrame:
-    """Drift of the new window against the aliased version's baseline (PSI on its
-    bins, exact KS against the reference window), appended to `drift_metrics`;
-    window MAE against the training MAE appended to `performance_metrics`.
-    Raises DriftAlert afterwards when asked to."""
-    spec = trip_spec()
-    features = list(spec.features)
+                what_if: Mapping[str, float] | None = None, fail_on_alert: bool = False,
+                fail_on_degraded: bool = False) -> DataFrame:
+    """Drift of the new window from the aliased version's stored baseline, and its mean
+    error against the training error; both are appended to their report tables, then the
+    gates asked for raise. `what_if` scales columns of the new window first (such reports
+    are marked as simulated)."""
+    features = list(trip_spec().features)
     ver = alias_version(spark, names, alias)
-    version = int(ver["version"])
-    bins, _ = _baseline(spark, names, version)
-    new = _silver_window(spark, names, NEW)
-    simulated = simulate_factor != 1.0
-    if simulated:
-        new = D.scale_columns(new, {"trip_distance": simulate_factor,
-                                    "duration_min": simulate_factor})
-    ref = _silver_window(spark, names, REFERENCE)
-    checked_at = F.current_timestamp()
-    report = D.drift_report(ref, new, features, bins).withColumns({
-        "model_version": F.lit(version).cast("bigint"), "checked_at": checked_at,
-        "simulated": F.lit(simulated)})
-    report = materialize(report)  # one evaluation for the append and the gate
+    stamp = {"model_version": F.lit(int(ver["version"])).cast("bigint"),
+             "checked_at": F.current_timestamp()}
+    fresh = D.scale_columns(_silver_window(spark, names, NEW), what_if or {})
+    drift = D.drift_from_baseline(fresh, features, *_baseline(spark, names, ver["version"]))
+    report = materialize(drift.withColumns({**stamp, "simulated": F.lit(bool(what_if))}))
     append_table(report, names.drift_metrics)
 
-    window_mae = (spark.table(names.predictions).filter(F.col("model_version") == version)
-                  .agg(F.avg("abs_error").alias("window_mae")))
-    perf = window_mae.select(
-        F.lit(version).cast("bigint").alias("model_version"), checked_at.alias("checked_at"),
-        F.lit(ver["mae"]).alias("train_mae"), "window_mae",
-        F.try_divide(F.col("window_mae"), F.lit(ver["mae"])).alias("mae_ratio"))
+    errors = spark.table(names.predictions).filter(F.col("model_version") == ver["version"])
+    ratio = F.try_divide(F.col("window_mae"), F.col("train_mae"))
+    perf = materialize(
+        errors.agg(F.avg("abs_error").alias("window_mae"))
+        .withColumn("train_mae", F.lit(ver["mae"])).withColumns({**stamp, "mae_ratio": ratio}))
     append_table(perf, names.performance_metrics)
     if fail_on_alert:
         G.raise_on_alerts(report)
+    if fail_on_degraded:
+        G.raise_if_degraded(perf)
     return report
 
 
@@ -222,12 +217,12 @@ def run_request_monitor(spark: SparkSession, names: TableNames, alias: str = R.C
     features = list(spec.features)
     ver = alias_version(spark, names, alias)
     version = int(ver["version"])
-    bins, sample = _baseline(spark, names, version)
+    bins, values = _baseline(spark, names, version)
     records = materialize(Q.recent_records(spark.table(names.payload), features, minutes, as_of))
     n = records.count()
     if n < min_rows:
         return None, n
-    report = Q.request_report(records, features, bins, sample.select("feature", "value"),
+    report = Q.request_report(records, features, bins, values,
                               minutes, min_rows).withColumns({
                                   "model_version": F.lit(version).cast("bigint"),
                                   "checked_at": F.current_timestamp()})

@@ -14,12 +14,14 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Settings every job relies on: UTC so that epoch seconds, hour and day of week
-# do not depend on the machine, AQE for runtime coalescing / skew splitting.
+# do not depend on the machine, AQE for runtime coalescing / skew splitting, and rank
+# limits (k smallest per group) up to 10,000 applied before the shuffle.
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
 }
 
 
@@ -76,18 +78,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
-
-
-def default_parallelism(spark: SparkSession) -> int | None:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - Spark Connect
-        return None
-
-
-def planned_partitions(df) -> int | None:
-    """Partitions of a plan without a shuffle (e.g. a scan); no job is run."""
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - Spark Connect
-        return None

@@ -14,7 +14,9 @@ All are plain projections / one bounded group-by; they scale with the input.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TRIP_SOURCE_COLUMNS = ["tpep_pickup_datetime", "tpep_dropoff_datetime", "trip_distance",
@@ -24,12 +26,15 @@ TRIP_SOURCE_COLUMNS = ["tpep_pickup_datetime", "tpep_dropoff_datetime", "trip_di
 NULL_DISTANCE_EVERY = 499
 BAD_FARE_EVERY = 997
 COPY_EVERY = 100
+BAD_TIME_EVERY = 307
+BAD_NUMBER_EVERY = 301
+EMPTY_FARE_EVERY = 311
 EVENTS_PER_REQUEST = 5
 FAILED_REQUEST_EVERY = 20
 
 
-def trips_from_events(events: DataFrame) -> DataFrame:
-    """Source trips: `trip_id`, the four source columns, nothing else."""
+def trips_from_events(events: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Source trips: `trip_id`, the four source columns, and `extra` columns of the events."""
     k = F.get_json_object(F.col("props"), "$.k").cast("int")
     pickup = F.col("ts").cast("timestamp")
     noise = ((F.col("event_id") * 7919) % 101 - 50).cast("double") / 100.0
@@ -42,13 +47,32 @@ def trips_from_events(events: DataFrame) -> DataFrame:
         .otherwise(F.col("value") / 10.0).alias("trip_distance"),
         F.when(F.col("event_id") % BAD_FARE_EVERY == 0, F.lit(-5.0))
         .otherwise(fare).alias("fare_amount"),
+        *extra,
     )
 
 
 def trips_with_copies(events: DataFrame) -> DataFrame:
-    """Trips plus an exact copy of every 100th trip (a de-duplication case)."""
+    """Trips plus an exact copy of every 100th trip (a de-duplication case), from one read."""
     trips = trips_from_events(events)
-    return trips.unionByName(trips.filter(F.col("trip_id") % COPY_EVERY == 0))
+    times = F.when(F.col("trip_id") % COPY_EVERY == 0, F.array(F.lit(1), F.lit(2))).otherwise(
+        F.array(F.lit(1)))
+    return trips.withColumn("_copy", F.explode(times)).drop("_copy")
+
+
+def trips_as_text(events: DataFrame) -> DataFrame:
+    """Trips as a text source writes them: every column a string, some of them unreadable
+    (the event's raw `props` where a number belongs, words where a time does)."""
+    trips = trips_from_events(events, extra=["props"])
+
+    def spoiled(c: str, every: int, text: Column) -> Column:
+        return F.when(F.col("trip_id") % every == 0, text).otherwise(F.col(c).cast("string"))
+
+    return trips.select(
+        "trip_id", spoiled("tpep_pickup_datetime", BAD_TIME_EVERY, F.lit("not a time"))
+        .alias("tpep_pickup_datetime"),
+        F.col("tpep_dropoff_datetime").cast("string").alias("tpep_dropoff_datetime"),
+        spoiled("trip_distance", BAD_NUMBER_EVERY, F.col("props")).alias("trip_distance"),
+        spoiled("fare_amount", EMPTY_FARE_EVERY, F.lit("")).alias("fare_amount"))
 
 
 def request_log_from_events(events: DataFrame) -> DataFrame:

@@ -7,7 +7,12 @@ baseline bins, and PSI per window is computed in `foreachBatch` against the
 stored profile. KS needs raw values and stays in the batch monitor.
 
 State is bounded: one count per (window, feature, bin), dropped once the
-watermark passes the window end.
+watermark passes the window end. Records are counted as one more "feature" with
+a single bin, so the traffic gate counts records as the batch monitor does, not
+present values.
+
+Each micro-batch writes its report with its batch id and the stream's checkpoint
+location; a batch that is retried after its rows were stored adds nothing.
 """
 
 from __future__ import annotations
@@ -21,38 +26,56 @@ from tidemark.operators import drift as D
 from tidemark.operators import profile as P
 from tidemark.operators import requests as Q
 
+RECORDS = "_records"  # stands for the number of records
+
 
 def windowed_bin_counts(payload_stream: DataFrame, features: Sequence[str], edges: DataFrame,
                         window: str = "60 minutes", slide: str | None = None,
                         watermark: str = "10 minutes") -> DataFrame:
     """(window, feature, bin, count) of a streaming request log on the baseline
-    edges (a static, bounded table joined by broadcast)."""
+    edges (a static table of one row per feature), and the records of each window."""
     records = Q.parse_requests(payload_stream, features).withWatermark("request_time", watermark)
-    long = P.present(P.to_long(records, features, keep=["request_time"]))
-    binned = P.assign_bins(long, edges)
+    names = [*features, RECORDS]
+    long = P.present(P.to_long(records.withColumn(RECORDS, F.lit(0.0)), names,
+                               keep=["request_time"]))
+    one_bin = edges.sparkSession.range(1).select(
+        F.lit(RECORDS).alias("feature"), F.array().cast("array<double>").alias("edges"))
+    binned = P.assign_bins(long, edges.select("feature", "edges").unionByName(one_bin),
+                           len(names))
     win = F.window("request_time", window, slide) if slide else F.window("request_time", window)
     return binned.groupBy(win.alias("window"), "feature", "bin").agg(
         F.count(F.lit(1)).alias("count"))
 
 
-def window_psi(counts: DataFrame, profile: DataFrame) -> DataFrame:
-    """(window, feature, psi, status, n_rows) from one batch of closed windows:
-    dense shares per window and feature, then PSI against the profile."""
-    grid = (counts.select("window", "feature").distinct()
-            .join(P.bin_grid(P.profile_edges(profile)), "feature")
-            .select("window", "feature", "bin"))
-    dense = (grid.join(counts, ["window", "feature", "bin"], "left")
-             .withColumn("count", F.coalesce("count", F.lit(0).cast("bigint"))))
+def window_psi(counts: DataFrame, profile: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(window, feature, psi, n_rows, status) from one batch of closed windows: dense shares
+    per window and feature, then PSI against the profile. `n_rows` counts records."""
+    n_rows = counts.filter(F.col("feature") == RECORDS).groupBy("window").agg(
+        F.sum("count").alias("n_rows"))
+    each = n_rows.select("window", F.explode(F.array(*map(F.lit, features))).alias("feature"))
+    grid = each.join(P.bin_grid(P.profile_edges(profile)).select("feature", "bin"), "feature")
+    dense = grid.join(counts, ["window", "feature", "bin"], "left").withColumn(
+        "count", F.coalesce("count", F.lit(0).cast("bigint")))
     per = Window.partitionBy("window", "feature")
-    shares = dense.withColumns({
-        "actual_pct": F.try_divide(F.col("count").cast("double"), F.sum("count").over(per)),
-        "n_rows": F.sum("count").over(per)})
-    e = F.greatest(F.col("expected_pct"), F.lit(D.PSI_EPS))
-    a = F.greatest(F.col("actual_pct"), F.lit(D.PSI_EPS))
-    joined = shares.join(profile.select("feature", "bin", "expected_pct"), ["feature", "bin"])
-    out = joined.groupBy("window", "feature").agg(
-        F.sum((a - e) * F.ln(a / e)).alias("psi"), F.max("n_rows").alias("n_rows"))
-    return out.withColumn("status", D.psi_status(F.col("psi")))
+    shares = dense.withColumn("actual_pct", F.try_divide(F.col("count").cast("double"),
+                                                         F.sum("count").over(per)))
+    out = (shares.join(profile.select("feature", "bin", "expected_pct"), ["feature", "bin"])
+           .groupBy("window", "feature")
+           .agg(D.psi_terms(F.col("expected_pct"), F.col("actual_pct")).alias("psi")))
+    return out.join(n_rows, "window").withColumn("status", D.psi_status(F.col("psi")))
+
+
+def append_once(rows: DataFrame, sink_table: str, stream: str, batch_id: int) -> None:
+    """Append a micro-batch's rows unless this batch of this stream is stored already."""
+    spark = rows.sparkSession
+    if spark.catalog.tableExists(sink_table):
+        stored = spark.table(sink_table).filter(
+            (F.col("stream") == stream) & (F.col("batch_id") == batch_id))
+        if not stored.isEmpty():
+            return
+    tagged = rows.withColumns({"stream": F.lit(stream),
+                               "batch_id": F.lit(batch_id).cast("bigint")})
+    tagged.write.mode("append").saveAsTable(sink_table)
 
 
 def start_request_drift_stream(payload_stream: DataFrame, features: Sequence[str],
@@ -66,8 +89,8 @@ def start_request_drift_stream(payload_stream: DataFrame, features: Sequence[str
                                  window, None, watermark)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        psi = window_psi(batch, profile).filter(F.col("n_rows") >= min_rows)
-        psi.withColumn("batch_id", F.lit(batch_id)).write.mode("append").saveAsTable(sink_table)
+        psi = window_psi(batch, profile, features).filter(F.col("n_rows") >= min_rows)
+        append_once(psi, sink_table, checkpoint_location, batch_id)
 
     writer = (counts.writeStream.outputMode("append")
               .option("checkpointLocation", checkpoint_location)
