@@ -6,8 +6,9 @@ two-layer network with temperature-calibrated probabilities.
 * Random indexing: each vocabulary entry has a fixed sparse index vector with entries
   +1 / -1 drawn from a hash of the token; its word vector is the sum of the index vectors
   of its neighbours over the training sample, scaled to length one.
-* A document is the mean of its tokens' word vectors, whole text, next to the log of its
-  token count. A tanh layer and a logistic output score it; the logit is divided by a
+* A document is the mean of its tokens' word vectors, whole text, next to what a mean can't
+  tell: the log of its token count, its share of distinct tokens, and of tokens that repeat
+  the one before. A tanh layer and a logistic output score it; the logit is divided by a
   temperature fitted on rows that the network did not train on.
 
 The fit uses a bounded sample of labelled rows: at most `PER_CLASS` rows of each label,
@@ -25,6 +26,8 @@ import re
 import zlib
 from collections import Counter
 from dataclasses import dataclass
+from itertools import islice
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -99,9 +102,9 @@ class Model:
         return self._entries
 
     def pooled(self, texts) -> np.ndarray:
-        """Mean word vector and log token count of each text."""
+        """Mean word vector, log token count, distinct and repeating shares of each text."""
         row = self.entries().__getitem__
-        out = np.zeros((len(texts), self.vectors.shape[1] + 1), np.float64)
+        out = np.zeros((len(texts), self.vectors.shape[1] + 3), np.float64)
         for start in range(0, len(texts), 256):
             counts = np.zeros((min(256, len(texts) - start), len(self.vectors)), np.float32)
             for i, text in enumerate(texts[start:start + 256]):
@@ -110,8 +113,10 @@ class Model:
                     ids = np.fromiter(map(row, found), np.int32, len(found))
                     counts[i] = np.bincount(ids, minlength=len(self.vectors))
                     counts[i] /= len(found)
-                    out[start + i, -1] = np.log1p(len(found))
-            out[start:start + 256, :-1] = counts @ self.vectors
+                    repeats = sum(map(eq, found, islice(found, 1, None)))
+                    out[start + i, -3:] = (np.log1p(len(found)), len(set(found)) / len(found),
+                                           repeats / len(found))
+            out[start:start + 256, :-3] = counts @ self.vectors
         return out
 
     def logits(self, features: np.ndarray) -> np.ndarray:
