@@ -404,4 +404,27 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_suffix_dedup": op1_suffix_dedup}
-ORACLE_SQL: dict[str, str] = {}
+# hex digits stand for bytes, two each
+ORACLE_SQL = {"op1_suffix_dedup": f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h
+           FROM documents),
+bytes AS (SELECT rid, doc_id, p, substr(h, 2 * p - 1, 2) AS byte,
+                 CASE WHEN 2 * (p + {WIDTH} - 1) <= len(h) AND doc_id IS NOT NULL
+                      THEN substr(h, 2 * p - 1, {2 * WIDTH}) END AS string
+          FROM d, LATERAL (SELECT unnest(range(1, len(h) // 2 + 1)) AS p)),
+least AS (SELECT string, min(doc_id) AS first FROM bytes WHERE string IS NOT NULL
+          GROUP BY string HAVING min(doc_id) < max(doc_id)),
+marked AS (SELECT rid, p, byte, max(CASE WHEN first < doc_id THEN p END) OVER (
+             PARTITION BY rid ORDER BY p ROWS BETWEEN {WIDTH - 1} PRECEDING AND CURRENT ROW)
+             IS NOT NULL AS gone
+           FROM bytes LEFT JOIN least USING (string)),
+runs AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY rid ORDER BY p), false)
+           AS begins FROM marked),
+kept AS (SELECT rid, count(*) AS n_bytes, count(*) FILTER (gone) AS n_removed,
+                count(*) FILTER (begins) AS n_spans,
+                string_agg(byte, '' ORDER BY p) FILTER (NOT gone) AS rest
+         FROM runs GROUP BY rid)
+SELECT doc_id, coalesce(n_bytes, 0)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(rest, ''))) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)
+"""}
