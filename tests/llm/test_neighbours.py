@@ -44,10 +44,18 @@ def result(df, **kw):
     return {tuple(r) for r in N.nearest(df, F.col("vec_id") % 20 == 0, **kw).collect()}
 
 
-@pytest.mark.parametrize("block", [4096, 37])
-def test_matches_plain_version(spark, rows, block):
+@pytest.mark.parametrize("block_bytes", [N.BLOCK_BYTES, 37 * 8 * 16])
+def test_matches_plain_version(spark, rows, block_bytes):
     df = spark.createDataFrame(rows, SCHEMA).repartition(4)
-    assert result(df, block=block) == plain(rows, 20)
+    assert result(df, block_bytes=block_bytes) == plain(rows, 20)
+
+
+def test_copies_beyond_k_do_not_matter():
+    ids = np.array([9, 3, 3, 7, 1, 5, 8])
+    v = np.array([[1, 2], [1, 2], [1, 2], [0, 1], [1, 2], [0, 1], [1, 2]], float)
+    i, w = N.without_copies(ids, v, 2)
+    assert sorted(zip(i.tolist(), map(tuple, w.tolist()))) == [
+        (1, (1, 2)), (3, (1, 2)), (5, (0, 1)), (7, (0, 1))]
 
 
 def test_few_candidates_extra_columns_and_empty(spark):

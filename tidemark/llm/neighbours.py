@@ -11,13 +11,16 @@ a full search.
 
 Vectors that are null, empty, zero, or hold null or non-finite components take no part;
 vectors meet only those of their own length. Rows of one `vec_id` are never each other's
-neighbours; repeated rows of a candidate count once if equal. Ties go to the smaller id.
+neighbours; equal rows count once, rows of one id with different vectors count each. Ties
+go to the smaller id.
 """
 
 from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +31,10 @@ from tidemark.llm.common import table
 
 K = 20
 QUERY_EVERY = 20
-BLOCK = 4096  # vectors in a block
-PIECE = 512  # queries of a tile handled at once
+BLOCK_BYTES = 4 << 20  # of double-precision components in a block, whatever their number
+PIECE = 256  # queries of a tile handled at once
+PAIRS = 1 << 16  # surviving pairs recomputed at once
+ROUNDING = 1e-11  # of double-precision sums, as a share of the lengths' product
 EXACT = 1 << 24  # whole numbers up to here are exact in single precision
 
 
@@ -60,9 +65,24 @@ def exact_products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return out
 
 
+def without_copies(ids: np.ndarray, vectors: np.ndarray, most: int
+                   ) -> tuple[np.ndarray, np.ndarray]:
+    """Of equal vectors only the `most` smallest ids can be among the `most` best, as ties
+    go to the smaller id; of a repeated id one row is enough."""
+    order = np.lexsort((ids, *vectors.T))
+    i, v = ids[order], vectors[order]
+    new = np.r_[True, (v[1:] != v[:-1]).any(axis=1)]
+    again = ~new & np.r_[False, i[1:] == i[:-1]]
+    i, v, new = i[~again], v[~again], new[~again]
+    start = np.flatnonzero(new)
+    place = np.arange(len(i)) - np.repeat(start, np.diff(np.r_[start, len(i)]))
+    return i[place < most], v[place < most]
+
+
 def tile(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray,
          k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query id, candidate id, score): the k best candidates of each query in this tile."""
+    ids, vectors = without_copies(ids, vectors, k + 1)  # one may be the query's own
     exact = queries.shape[1] * 127 * 127 < EXACT
     kind = np.float32 if exact else np.float64
     qx, sx, lx, rx = quantised(queries)
@@ -73,7 +93,8 @@ def tile(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: n
     for i in range(0, len(queries), PIECE):
         part = slice(i, i + PIECE)
         near = (qx[part].astype(kind) @ right) * sx[part, None] * sy
-        error = (lx[part, None] * ry + rx[part, None] * whole) * (1 + 1e-9)
+        error = lx[part, None] * ry + rx[part, None] * whole
+        error += (lx + rx)[part, None] * whole * ROUNDING
         own = query_ids[part, None] == ids
         low = np.where(own, -np.inf, near - error)
         if low.shape[1] > k:
@@ -81,12 +102,11 @@ def tile(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: n
         else:
             least = np.full(len(low), -np.inf)
         row, col = np.nonzero((near + error >= least[:, None]) & ~own)
-        score = exact_products(queries[i + row], vectors[col])
+        score = np.concatenate([np.empty(0), *(
+            exact_products(queries[i + row[a:a + PAIRS]], vectors[col[a:a + PAIRS]])
+            for a in range(0, len(row), PAIRS))])
         order = np.lexsort((ids[col], -score, row))
         row, col, score = row[order], col[order], score[order]
-        # a candidate repeated within the tile counts once
-        new = np.r_[True, (row[1:] != row[:-1]) | (ids[col[1:]] != ids[col[:-1]])][:len(row)]
-        row, col, score = row[new], col[new], score[new]
         first = np.searchsorted(row, np.arange(len(low)))
         kept = np.arange(len(row)) - first[row] < k
         out.append((query_ids[i + row[kept]], ids[col[kept]], score[kept]))
@@ -126,37 +146,46 @@ def tile_results(queries: DataFrame, candidates: DataFrame, blocks: tuple[int, i
 
 def merged(found: DataFrame, k: int) -> DataFrame:
     """(query_id, rank, vec_id, score): the tiles' results of each query, merged."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heaps: dict[int, list[tuple[float, int]]] = {}
-        seen: dict[int, set[int]] = {}
-        for batch in batches:
-            for q, v, s in zip(*(c.to_pylist() for c in batch.columns)):
-                heap = heaps.setdefault(q, [])
-                if v in seen.setdefault(q, set()):
-                    continue
-                if len(heap) < k:
+    def best(rows) -> list[tuple[float, int]]:
+        heap: list[tuple[float, int]] = []
+        for _, v, s in rows:
+            if len(heap) < k:
+                if (s, -v) not in heap:  # equal query rows find the same
                     heapq.heappush(heap, (s, -v))
-                    seen[q].add(v)
-                elif (s, -v) > heap[0]:
-                    seen[q].discard(-heapq.heapreplace(heap, (s, -v))[1])
-                    seen[q].add(v)
-        rows = [(q, i + 1, -v, s) for q, heap in heaps.items()
-                for i, (s, v) in enumerate(sorted(heap, reverse=True))]
-        cols = list(zip(*rows)) or [[], [], [], []]
-        yield pa.record_batch([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()),
-                               pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.float64())],
-                              names=["query_id", "rank", "vec_id", "score"])
-    return found.repartition("query_id").mapInArrow(
-        run, "query_id long, rank int, vec_id long, score double")
+            elif (s, -v) > heap[0] and (s, -v) not in heap:
+                heapq.heapreplace(heap, (s, -v))
+        return sorted(heap, reverse=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns)))
+        out: list[tuple[int, int, int, float]] = []
+
+        def flush() -> pa.RecordBatch:
+            cols = list(zip(*out)) or [()] * 4
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.float64())
+            return pa.record_batch([pa.array(c, t) for c, t in zip(cols, kinds)],
+                                   names=["query_id", "rank", "vec_id", "score"])
+
+        for q, own in groupby(rows, itemgetter(0)):
+            out += [(q, i + 1, -v, s) for i, (s, v) in enumerate(best(own))]
+            if len(out) >= 50_000:
+                yield flush()
+                out.clear()
+        yield flush()
+
+    return (found.repartition("query_id").sortWithinPartitions("query_id")
+            .mapInArrow(run, "query_id long, rank int, vec_id long, score double"))
 
 
 def nearest(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id",
-            vector: str = "embedding", k: int = K, block: int = BLOCK) -> DataFrame:
+            vector: str = "embedding", k: int = K, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The k candidates of largest inner product for every query row."""
     rows = vectors.filter(usable(vector) & F.col(vec_id).isNotNull()).select(
         F.col(vec_id).cast("long").alias("id"), F.col(vector).alias("v"),
         F.size(vector).alias("size"), is_query.alias("q"))
-    n = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if("q").alias("q")).first()
+    n = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if("q").alias("q"),
+                 F.coalesce(F.max("size"), F.lit(1)).alias("size")).first()  # empty: one block
+    block = max(1, block_bytes // (8 * n["size"]))
     blocks = (max(1, -(-n["q"] // block)), max(1, -(-n["n"] // block)))
     queries = rows.filter("q").drop("q")
     return merged(tile_results(queries, rows.drop("q"), blocks, k), k)
