@@ -1,13 +1,9 @@
 """Small documents with the awkward cases: nulls, empties, long texts, ties, repeats."""
 
-import os
 import random
-import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 
 

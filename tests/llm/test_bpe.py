@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from plain import sha
+from .plain import sha
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe

@@ -1,8 +1,7 @@
 import random
 
 import pytest
-from conftest import DOCUMENTS  # noqa: F401
-from plain import benchmark_hits
+from .plain import benchmark_hits
 
 from tidemark.llm import decontaminate as D
 

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from plain import personal, sha
+from .plain import personal, sha
 from pyspark.sql import functions as F
 
 from tidemark.llm import pii

@@ -2,7 +2,7 @@
 
 import corpus_pipeline as C
 import pytest
-from plain import benchmark_hits, components, personal, sha
+from .plain import benchmark_hits, components, personal, sha
 
 SF = "/root/testdata/sf0.001"
 

@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-from plain import components, simhash
+from .plain import components, simhash
 from pyspark.sql import functions as F
 
 from tidemark.llm import simhash as S

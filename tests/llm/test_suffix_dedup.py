@@ -1,7 +1,7 @@
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from plain import repeats
+from .plain import repeats
 from pyspark.sql import functions as F
 
 from tidemark.llm.deepshallow import PAD, ranks
