@@ -61,3 +61,9 @@ def test_clean(docs, rows, items, bench):
     assert kept.columns == docs.columns
     want = [i for i, _, hit, _, _ in benchmark_hits([r[:2] for r in rows], items) if not hit]
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted(want, key=str)
+
+
+def test_long_windows(docs, rows, items, bench):
+    from .plain import benchmark_hits as hits
+    want = sorted(hits([r[:2] for r in rows], items, 70), key=str)
+    assert result(docs, bench, window=70) == want

@@ -37,7 +37,6 @@ WINDOW = 10
 SLOP = 3
 SHARD_BYTES = 8 << 20  # text per shard
 BLOCK_BYTES = 16 << 20  # benchmark text per broadcast block
-GAP = 64  # unused positions between documents, more than any window with its slop
 
 # every byte that is no word byte becomes a space, A-Z become a-z
 _FOLD = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80
@@ -50,10 +49,11 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 class Block:
-    """Windows of some benchmark items: term ids, and the items that hold each window."""
+    """Windows of some benchmark items: term ids, and the items that hold each window.
+    `gap` positions between documents keep any match, exact or near, inside one document."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int):
-        self.window = window
+    def __init__(self, items: list[tuple[str, bytes]], window: int, slop: int):
+        self.slop, self.gap = slop, window + slop + 1
         self.term: dict[bytes, int] = {}
         holders: dict[tuple[int, ...], set[str]] = {}
         for item_id, text in items:
@@ -86,7 +86,8 @@ def build_index(docs: DataFrame, doc_id: str, text: str, block) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             counts = np.array([len(x) for x in lists], np.uint32)
-            base = np.cumsum(counts + GAP, dtype=np.uint32) - (counts + GAP)
+            taken = counts + np.uint32(block.value.gap)
+            base = np.cumsum(taken, dtype=np.uint32) - taken
             known = [np.flatnonzero(x >= 0) for x in lists]
             ids = np.concatenate([x[k] for x, k in zip(lists, known)])
             at = np.concatenate([k.astype(np.uint32) + b for k, b in zip(known, base)])
@@ -158,7 +159,7 @@ def _starts(window: tuple[int, ...], lists: dict[int, np.ndarray], slop: int
     return close, exact
 
 
-def search(index: DataFrame, block, slop: int = SLOP) -> DataFrame:
+def search(index: DataFrame, block) -> DataFrame:
     """One row per indexed document: words, merged spans of exact matches (uint32 pairs of
     word numbers, end exclusive), ids of items matched exactly, and nearly."""
     def shard(doc_table: bytes, n: int, lists: dict[int, np.ndarray]) -> pa.RecordBatch:
@@ -166,13 +167,14 @@ def search(index: DataFrame, block, slop: int = SLOP) -> DataFrame:
         no_id = np.frombuffer(raw, np.bool_, n)
         doc_ids, hashes = np.frombuffer(raw, np.int64, 2 * n, n).reshape(2, n)
         counts = np.frombuffer(raw, np.uint32, n, 17 * n).astype(np.int64)
-        ends = np.cumsum(counts + GAP)
-        base = ends - counts - GAP
+        taken = counts + block.value.gap
+        ends = np.cumsum(taken)
+        base = ends - taken
         hits: dict[int, list[np.ndarray]] = {}
         items: dict[int, set[str]] = {}
         almost: dict[int, set[str]] = {}
         for window, holders in block.value.windows:
-            close, exact = _starts(window, lists, slop)
+            close, exact = _starts(window, lists, block.value.slop)
             for d in np.unique(np.searchsorted(ends, close, "right")).tolist():
                 almost.setdefault(d, set()).update(holders)
             if len(exact):
@@ -218,7 +220,7 @@ def _united(spans: Column) -> Column:
     return F.pandas_udf(run, "binary")(spans)
 
 
-def benchmark_blocks(benchmark: DataFrame, item_id: str, text: str, window: int,
+def benchmark_blocks(benchmark: DataFrame, item_id: str, text: str, window: int, slop: int,
                      block_bytes: int = BLOCK_BYTES) -> Iterator[Block]:
     """The benchmark in blocks of about `block_bytes` of text; one is on the driver at a
     time, never the whole table."""
@@ -228,7 +230,7 @@ def benchmark_blocks(benchmark: DataFrame, item_id: str, text: str, window: int,
     n = max(1, -(-size // block_bytes))
     for i in range(n):
         part = rows.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i)
-        yield Block(sorted({(r[0], bytes(r[1])) for r in part.toLocalIterator()}), window)
+        yield Block(sorted({(r[0], bytes(r[1])) for r in part.toLocalIterator()}), window, slop)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -237,9 +239,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
     """(doc_id, text_hash, n_words, spans, items, near), one row per document."""
     spark = docs.sparkSession
     parts = []
-    for block in benchmark_blocks(benchmark, item_id, item_text, window, block_bytes):
+    for block in benchmark_blocks(benchmark, item_id, item_text, window, slop, block_bytes):
         shared = spark.sparkContext.broadcast(block)
-        parts.append(search(build_index(docs, doc_id, text, shared), shared, slop))
+        parts.append(search(build_index(docs, doc_id, text, shared), shared))
     if len(parts) == 1:
         return parts[0]
     union = parts[0]

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import held_out, smallest, table
 
 PER_LANGUAGE = 80
-MAX_FIT_CHARS = 20_000
+MAX_FIT_CHARS = 5_000
 DICTIONARY_BYTES = 96 << 10
 LEVEL = 6
 NARROW = 0.01  # margin, as a share of the second smallest size, below which to reject
