@@ -43,19 +43,19 @@ def stored(df: DataFrame) -> DataFrame:
     return materialize(df)
 
 
-def smallest(df: DataFrame, n: int, group: list[str], order: list[str], salts: int = 256
-             ) -> DataFrame:
-    """The `n` first rows of each group in the given order, which has to be that of hashes.
-
-    Ranked twice, by (group, salt) and then by group: each task of the first round keeps its
-    own `n` best (window group limit), and the second sees at most `salts * n` rows of a
-    group, however many tasks there were.
-    """
-    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
-    for by in ([*group, "__salt"], group):
-        rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
-        salted = salted.withColumn("__rank", rank).filter(F.col("__rank") <= n)
-    return salted.drop("__salt", "__rank")
+_SHARES = 1 << 30
+
+
+def hash_share(*key: str) -> Column:
+    """A number in [0, 1) that a hash of the key draws."""
+    return F.pmod(F.xxhash64(*key, F.lit("share")), F.lit(_SHARES)) / _SHARES
+
+
+def smallest(df: DataFrame, n: int, group: list[str], order: list[str]) -> DataFrame:
+    """The `n` first rows of each group in the given order. Meant for thinned rows: each task
+    keeps `n` rows of a group (window group limit) before one task ranks the group."""
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    return df.withColumn("__rank", rank).filter(F.col("__rank") <= n).drop("__rank")
 
 
 def groups_for(n_bytes: int, bytes_per_group: int) -> int:

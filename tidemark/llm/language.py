@@ -25,9 +25,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import held_out, smallest, table
+from tidemark.llm.common import hash_share, held_out, smallest, table
 
 PER_LANGUAGE = 80
+SPARE = 10  # times PER_LANGUAGE rows are looked at
 MAX_FIT_CHARS = 5_000
 DICTIONARY_BYTES = 96 << 10
 LEVEL = 6
@@ -81,10 +82,16 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
                         F.col(text).alias("text"))
             .filter(F.col("lang").isNotNull() & ~held_out("id")))
     totals = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    fit_for = rows.filter(F.length("text").between(1, MAX_FIT_CHARS)).withColumn(
-        "hash", F.xxhash64("id"))
+    if not totals:
+        return Dictionaries(())
+    # of a frequent language only ids with a small hash are ranked, several times enough
+    limit = F.create_map(*[x for lang_, n in totals.items()
+                           for x in (F.lit(lang_), F.lit(min(1.0, SPARE * PER_LANGUAGE / n)))])
+    fit_for = rows.filter(F.length("text").between(1, MAX_FIT_CHARS)
+                          & (hash_share("id") < limit[F.col("lang")]))
     order = ["hash", "id", "text"]
-    picked = smallest(fit_for, PER_LANGUAGE, ["lang"], order).orderBy("lang", *order).collect()
+    picked = (smallest(fit_for.withColumn("hash", F.xxhash64("id")), PER_LANGUAGE, ["lang"], order)
+              .orderBy("lang", *order).collect())
     samples = []
     for name in sorted(totals, key=lambda x: (-totals[x], x)):
         texts = [r["text"] for r in picked if r["lang"] == name]

@@ -10,8 +10,9 @@ kept, next to the base spans, which always stay.
 A span must hold a digit or an `@` (there is no such thing among the four kinds without
 one), so windows without either are not decoded; none is skipped for any other reason.
 
-The fit uses a bounded sample: for each kind, and for windows without a span, at most
-`PER_KIND` windows of `WINDOW` characters, those with the smallest hashes.
+The fit uses a bounded sample: of about `FIT_DOCUMENTS` documents, chosen by a hash of the
+id, for each kind, and for windows without a span, at most `PER_KIND` windows of `WINDOW`
+characters, those with the smallest hashes.
 
 Edge cases: null and empty texts have no spans; offsets count code points; without any
 labelled window only base spans are found; repeated rows get equal results.
@@ -29,12 +30,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import filled, smallest, table
+from tidemark.llm.common import filled, hash_share, smallest, table
 from tidemark.llm.tagger import Tagger, char_ids
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW = 80
 STRIDE = 40
+FIT_DOCUMENTS = 50_000
 PER_KIND = 350
 STEPS = 350  # training batches
 SURE = 0.98  # least mean probability of a span's tags
@@ -211,9 +213,11 @@ def labelled_windows(docs: DataFrame, text: str = "text") -> DataFrame:
         run, "kind string, window string, tags binary")
 
 
-def fit(docs: DataFrame, text: str = "text", per_kind: int = PER_KIND) -> Tagger | None:
+def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per_kind: int = PER_KIND
+        ) -> Tagger | None:
     """A tagger trained on the bounded sample, or None without windows."""
-    hashed = labelled_windows(docs, text).withColumn("hash", F.xxhash64("window"))
+    few = docs.filter(hash_share(doc_id) < FIT_DOCUMENTS / max(1, docs.count()))
+    hashed = labelled_windows(few, text).withColumn("hash", F.xxhash64("window"))
     order = ["hash", "window", "tags"]
     rows = smallest(hashed, per_kind, ["kind"], order).orderBy("kind", *order).collect()
     if not rows:
@@ -224,9 +228,9 @@ def fit(docs: DataFrame, text: str = "text", per_kind: int = PER_KIND) -> Tagger
     return tagger
 
 
-def shared_tagger(docs: DataFrame, text: str = "text"):
+def shared_tagger(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"):
     """The tagger, broadcast (its size is fixed by its layers)."""
-    return docs.sparkSession.sparkContext.broadcast(fit(docs, text))
+    return docs.sparkSession.sparkContext.broadcast(fit(docs, doc_id, text))
 
 
 # ------------------------------------------------------------ operators

@@ -34,9 +34,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import filled, held_out, smallest, table
+from tidemark.llm.common import filled, hash_share, held_out, smallest, table
 
 PER_CLASS = 2500
+SPARE = 4  # times PER_CLASS ids are looked at
 MAX_FIT_CHARS = 20_000
 THRESHOLD = 0.7
 VOCABULARY = 4096
@@ -209,9 +210,13 @@ def training_sample(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
              .groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("top"))
              .filter(F.col("y") == F.col("top")).select("id", "y"))
     totals = {r["y"]: r["count"] for r in clear.groupBy("y").count().collect()}
-    # at most per_class ids of each class: small enough to broadcast
-    chosen = smallest(clear.withColumn("hash", F.xxhash64("id")), per_class, ["y"],
-                      ["hash", "id"]).drop("hash")
+    # at most per_class ids of each class: small enough to broadcast; of a frequent class only
+    # ids with a small hash are ranked, several times enough
+    limit = F.lit(1.0)
+    for y, n in totals.items():
+        limit = F.when(F.col("y") == y, F.lit(min(1.0, SPARE * per_class / n))).otherwise(limit)
+    few = clear.filter(hash_share("id") < limit).withColumn("hash", F.xxhash64("id"))
+    chosen = smallest(few, per_class, ["y"], ["hash", "id"]).drop("hash")
     rows = (docs.select(F.col(doc_id).alias("id"), filled(text).alias("text"))
             .filter(F.length("text") <= MAX_FIT_CHARS)
             .join(F.broadcast(chosen), "id").groupBy("id", "y").agg(F.min("text").alias("text"))
