@@ -7,7 +7,9 @@ platform and only `ensure_checkpoint_dir` / `apply_defaults` are used.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import sys
 import tempfile
 
@@ -59,9 +61,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the shared checkpoint folder named by the cluster.
 
     `spark.checkpoint.dir` is read from the session. Only when it is unset on a
-    local master (tests, the benchmark) is a fresh scratch folder created and
-    registered; on a cluster an unset folder is an error. Sessions without a
-    SparkContext (Spark Connect) keep the server's setting.
+    local master (tests, the benchmark) is a fresh scratch folder created,
+    registered, and removed when the process ends; on a cluster an unset folder
+    is an error. Sessions without a SparkContext (Spark Connect) keep the
+    server's setting.
     """
     try:
         sc = spark.sparkContext
@@ -76,5 +79,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
