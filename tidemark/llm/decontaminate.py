@@ -21,7 +21,6 @@ by one; an empty documents table gives no rows; without items nothing is hit.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
