@@ -1,5 +1,4 @@
 import numpy as np
-from pyspark.sql import functions as F
 
 from tidemark.operators.cumulative import exact_quantiles, in_pieces, running_totals, value_counts
 

@@ -16,10 +16,6 @@ def read_parquet_table(spark: SparkSession, base_dir: str, name: str) -> DataFra
     return spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
 
 
-def read_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.table(name)
-
-
 def ensure_namespace(spark: SparkSession, names: TableNames) -> None:
     """Idempotent `CREATE SCHEMA IF NOT EXISTS`."""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {names.namespace}")
