@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import filled, table
+from tidemark.llm.common import filled, importable, table
 
 MAX_TOKENIZER_BYTES = 64 << 20  # a tokenizer file is broadcast; a larger one is refused
 CACHED_WORDS = 400_000  # per Python worker; the cache is emptied when it is full
@@ -278,7 +278,7 @@ def _codec_of(shared) -> Codec:
 
 def share(spark: SparkSession, path: str):
     """Broadcast a tokenizer file (its size is bounded, see `TokenizerFile.read`)."""
-    return spark.sparkContext.broadcast(TokenizerFile.read(path))
+    return importable(spark).sparkContext.broadcast(TokenizerFile.read(path))
 
 
 def token_ids(text: Column, shared) -> Column:

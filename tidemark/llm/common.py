@@ -2,18 +2,33 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import apply_defaults
 from tidemark.sources.tables import materialize, read_parquet_table
 
+LIBRARY = str(Path(__file__).resolve().parents[2])
 TRAIN_PARTS = 4  # labelled rows fall into four parts by crc32 of the id as text ...
 HELD_OUT_PART = 2  # ... and this one is never learned from
 
 
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this library from where the driver did, also if that folder
+    is neither their working directory nor on their path. (On a cluster the library is
+    installed or shipped with the job; the folder then adds nothing.)"""
+    env = spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if LIBRARY not in known:
+        env["PYTHONPATH"] = os.pathsep.join([*known, LIBRARY])
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    apply_defaults(spark)
+    apply_defaults(importable(spark))
     return read_parquet_table(spark, sf_dir, name)
 
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import filled, hash_share, smallest, table
+from tidemark.llm.common import filled, hash_share, importable, smallest, table
 from tidemark.llm.tagger import Tagger, char_ids
 
 KINDS = ("email", "ip", "card", "phone")
@@ -230,7 +230,8 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per_kind: i
 
 def shared_tagger(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"):
     """The tagger, broadcast (its size is fixed by its layers)."""
-    return docs.sparkSession.sparkContext.broadcast(fit(docs, doc_id, text))
+    spark = importable(docs.sparkSession)
+    return spark.sparkContext.broadcast(fit(docs, doc_id, text))
 
 
 # ------------------------------------------------------------ operators

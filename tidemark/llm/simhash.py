@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, table, utf8
+from tidemark.llm.common import importable, stored, table, utf8
 from tidemark.llm.components import components
 
 SHINGLE = 3
@@ -237,6 +237,7 @@ def by_component(marked: DataFrame, first: DataFrame, distance: int = DISTANCE)
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """(doc_id, fp, component_id), one row per document."""
+    importable(docs.sparkSession)
     marked = stored(docs.select(F.col(doc_id).alias("doc_id"),
                                 fingerprint(text, shingle).alias("fp")))
     # the smallest document of each component of fingerprints
@@ -248,6 +249,7 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """`docs` with one row of each component: that of the smallest id (rows without an id
     come last), among rows of one id that of the smallest hash of all its columns."""
+    importable(docs.sparkSession)
     row = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"),
                    F.xxhash64(*docs.columns).alias("hash"))
     marked = stored(docs.select(row.alias("row"), fingerprint(text, shingle).alias("fp")))
