@@ -1,5 +1,6 @@
 import math
 import re
+import textwrap
 
 from pyspark.sql import functions as F
 
@@ -116,3 +117,61 @@ def test_size_bounds_lose_nothing():
 def test_licenses_run_without_python(spark, docs):
     plan = docs.select(licenses.line_matches("text"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def plain_passages(text):
+    """Every window of every template; of overlapping ones the best."""
+    words = [(w, i) for i, line in enumerate(text.split("\n"), 1)
+             for w in re.sub("[^a-z0-9]+", " ", line.lower()).split()]
+    grams = [f"{a[0]} {b[0]}" for a, b in zip(words, words[1:])]
+    found = []
+    for name, notice in licenses.TEMPLATES.items():
+        own = set(licenses.template_bigrams(notice))
+        most = int(licenses.MOST_WORDS * len(licenses.template_words(notice))) - 1
+        for a in range(len(grams)):
+            if grams[a] in own:
+                seen, best = set(), (0.0, 0)
+                for b in range(a, min(len(grams), a + most)):
+                    seen.add(grams[b])
+                    best = min(best, (-2 * len(seen & own) / (len(seen) + len(own)), b))
+                if -best[0] >= licenses.MIN_DICE:
+                    found.append((best[0], name, a, best[1] + 1))
+    kept = []
+    for f in sorted(found):
+        if all(f[3] < k[2] or k[3] < f[2] for k in kept):
+            kept.append(f)
+    return [(words[a][1], words[b][1], name, -less)
+            for less, name, a, b in sorted(kept, key=lambda k: k[2])]
+
+
+def test_license_passages(spark, tmp_path):
+    other = [f"other{i}" for i in range(400)]
+    wrapped = textwrap.fill(" ".join(licenses.TEMPLATES["MIT+"].split()), 78)
+    inline = "We ship this tool to all users today. Released under the MIT License. See the docs."
+    texts = [wrapped + "\n" + " ".join(other), " ".join(other[:200]) + "\n" + wrapped + "\n\n"
+             + " ".join(other[200:]), inline, "all parts are\nreleased under the\nMIT license, as "
+             "told", "Released under the MIT License.", " ".join(licenses.TEMPLATES.values()),
+             "x " * 50 + wrapped.replace("WARRANTY", "promise") + " y" * 50, "", "mit", None,
+             "\n\n mit of the software\n" * 30, inline + "\n" + inline.replace("MIT", "ISC")]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["m"] for r in
+           df.select("doc_id", licenses.passage_matches("text").alias("m")).collect()}
+    for i, text in enumerate(texts):
+        want = plain_passages(text or "")
+        assert [tuple(m)[:3] for m in got[i]] == [w[:3] for w in want], text
+        assert all(math.isclose(m["dice"], w[3]) for m, w in zip(got[i], want))
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r["doc_id"]: r for r in licenses.op4_license_scan(spark, str(tmp_path)).collect()}
+    lines = wrapped.count("\n") + 1
+    assert out[0]["matches"] == f"1-{lines}:MIT+" and out[1]["matches"] == f"2-{lines + 1}:MIT+"
+    assert out[2]["matches"] == "1-1:MIT" and out[3]["matches"].endswith("2-3:MIT")
+    assert out[4]["matches"] == "0:MIT,1:MIT"  # not told twice
+    assert out[11]["matches"] == "1-1:MIT,2-2:ISC" and out[9]["n_matches"] == 0
+
+
+def test_needed_words_lose_nothing():
+    needed = set(licenses.needed_words(licenses.TEMPLATES, licenses.MIN_DICE))
+    for notice in licenses.TEMPLATES.values():
+        grams = licenses.template_bigrams(notice)
+        left = [g for g in grams if not needed & set(g.split(" "))]
+        assert len(left) < licenses.least_common(len(grams), licenses.MIN_DICE)
