@@ -80,3 +80,27 @@ def test_smallest_of_each_group(spark):
     got = sorted(map(tuple, smallest(df, 7, ["g"], ["h"]).collect()), key=str)
     assert got == sorted([r for g in ("a", "b", None) for r in
                           sorted((x for x in rows if x[0] == g), key=lambda x: x[1])[:7]], key=str)
+
+
+def test_languages_of_long_texts_are_learned(spark):
+    """Every learnable row may enter, however long; none fills the dictionary alone."""
+    long = "\n".join(f"kala{i % 97} vesi lumi talvi metsä" for i in range(2_000))
+    rows = ([(i, long, "fi") for i in range(40)]
+            + [(100 + i, f"short words about number {i} the", "en") for i in range(40)]
+            + [(1000 + i, "123" if i % 20 else "kort tekst på dansk", "da") for i in range(1000)])
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    model = language.learn(df)
+    samples = dict(model.samples)
+    assert set(samples) == {"fi", "en", "da"}
+    taught = df.filter(~held_out("doc_id")).groupBy("lang").count()
+    n = {r["lang"]: r["count"] for r in taught.collect()}
+    assert len(samples["fi"].split(b"\n")) == n["fi"]  # a piece of each
+    letters = df.filter(~held_out("doc_id") & (F.col("lang") == "da") & (F.col("text") != "123"))
+    assert len(samples["da"].split(b"\n")) == letters.count()
+    assert all(len(s) <= language.DICTIONARY_BYTES for s in samples.values())
+    assert model.judge("talvi ja lumi metsä vesi kala vesi talvi")[0] == "fi"
+
+
+def test_shared_out():
+    assert language.shared_out([b"a" * 50, b"b" * 3, b"c" * 40], 33) == [b"a" * 14, b"b" * 3, b"c" * 13]
+    assert language.shared_out([], 9) == []

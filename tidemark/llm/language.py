@@ -7,8 +7,10 @@ What is encoded, of texts and dictionaries alike, is the whole text's words in l
 a word that follows itself once: symbols, digits and repetitions tell no language.
 
 The dictionaries are learned from a bounded sample: per language the `PER_LANGUAGE`
-labelled rows with the smallest id hashes outside the held-out part, of texts up to
-`MAX_FIT_CHARS`, cut to `DICTIONARY_BYTES`.
+labelled rows with a letter and the smallest id hashes outside the held-out part, whatever
+their length. Of each text the first `MAX_FIT_CHARS` characters from its first letter on are
+taken, at most an equal share of `DICTIONARY_BYTES`, so that no long text fills the
+dictionary alone; what short texts leave free goes to the others.
 
 Edge cases: a null text, or one without a letter, is `und` with score 0; so is every text
 if nothing could be learned. Ties go to the language with more labelled rows, then by
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import pandas as pd
@@ -75,6 +78,16 @@ class Dictionaries:
         return self.samples[at][0], score, margin < NARROW
 
 
+def shared_out(texts: list[bytes], limit: int) -> list[bytes]:
+    """The texts cut so that they and a line end after each have at most `limit` bytes: as much
+    of each as of any other, unless it is shorter."""
+    left, cut = limit, {}
+    for k, i in enumerate(sorted(range(len(texts)), key=lambda i: len(texts[i]))):
+        cut[i] = texts[i][:max(0, left // (len(texts) - k) - 1)]
+        left -= len(cut[i]) + 1
+    return [cut[i] for i in range(len(texts))]
+
+
 def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang"
           ) -> Dictionaries:
     """Dictionaries from the labelled rows outside the held-out part."""
@@ -87,15 +100,26 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     # of a frequent language only ids with a small hash are ranked, several times enough
     limit = F.create_map(*[x for lang_, n in totals.items()
                            for x in (F.lit(lang_), F.lit(min(1.0, SPARE * PER_LANGUAGE / n)))])
-    fit_for = rows.filter(F.length("text").between(1, MAX_FIT_CHARS)
-                          & (hash_share("id") < limit[F.col("lang")]))
+    # only the part that is learned from moves, from the first letter on
+    part = F.regexp_extract("text", rf"(?s)\p{{L}}.{{0,{MAX_FIT_CHARS - 1}}}", 0)
+    learnable = rows.withColumn("text", part).filter(F.length("text") > 0)
     order = ["hash", "id", "text"]
-    picked = (smallest(fit_for.withColumn("hash", F.xxhash64("id")), PER_LANGUAGE, ["lang"], order)
-              .orderBy("lang", *order).collect())
+
+    def best(df: DataFrame) -> list:
+        return (smallest(df.withColumn("hash", F.xxhash64("id")), PER_LANGUAGE, ["lang"], order)
+                .orderBy("lang", *order).collect())
+    picked = best(learnable.filter(hash_share("id") < limit[F.col("lang")]))
+    found = Counter(r["lang"] for r in picked)
+    # rows without a letter may leave too few: such a language is ranked without thinning
+    short = [x for x, n in totals.items() if found[x] < min(PER_LANGUAGE, n)
+             and SPARE * PER_LANGUAGE < n]
+    if short:
+        picked = ([r for r in picked if r["lang"] not in short]
+                  + best(learnable.filter(F.col("lang").isin(short))))
     samples = []
     for name in sorted(totals, key=lambda x: (-totals[x], x)):
         texts = [r["text"] for r in picked if r["lang"] == name]
-        sample = b"\n".join(map(words_only, texts))[:DICTIONARY_BYTES]
+        sample = b"\n".join(shared_out([*map(words_only, texts)], DICTIONARY_BYTES))
         if sample:
             samples.append((name, sample))
     return Dictionaries(tuple(samples))
