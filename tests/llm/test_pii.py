@@ -98,3 +98,29 @@ def test_report_and_redaction(docs, rows, no_docs, shared):
 def test_char_ids_are_within_the_alphabet():
     ids = char_ids(" ~aé٣　\x00😀")
     assert ids.min() > 0 and ids.max() < ALPHABET
+
+
+class ZTagger:
+    """Finds runs of `z`, `y` (of another kind) and `@`, as far as it sees them."""
+
+    def decode(self, ids):
+        tags = np.zeros(ids.shape, int)
+        for row, out in zip(ids, tags):
+            for j, c in enumerate(row):
+                if c in (char_ids("z")[0], char_ids("@")[0]):
+                    out[j] = 2 if j and out[j - 1] in (1, 2) else 1
+                elif c == char_ids("y")[0]:
+                    out[j] = 4 if j and out[j - 1] in (3, 4) else 3
+        return tags, np.full(ids.shape, 0.99)
+
+
+def test_long_spans_are_found_at_every_offset():
+    for n in (1, 39, 40, 45, 60, 78, 79, 80, 81, 119, 120, 121, 160, 200):
+        body = "z" * (n // 3) + "@" + "z" * (n - n // 3 - 1)
+        texts = ["x" * a + body + "x" * tail for a in range(0, 121) for tail in (0, 90)]
+        got = pii.added_spans(texts, [[]] * len(texts), ZTagger())
+        for text, spans in zip(texts, got):
+            a = len(text) - len(text.lstrip("x"))
+            assert spans == [(0, a, a + n)], (n, a)
+    two = "x" * 30 + "z" * 60 + "@" + "y" * 70 + "1" + "x" * 50
+    assert pii.added_spans([two], [[]], ZTagger()) == [[(0, 30, 91)]]

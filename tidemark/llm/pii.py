@@ -2,13 +2,15 @@
 
 Base spans come from patterns with checks (octets up to 255, Luhn, digit counts). A
 tagger (`tagger.Tagger`), trained in numpy on windows whose labels are the base spans,
-reads every text in overlapping windows. Each window is decoded by itself; a span that
-touches an inner edge of its window is left to the neighbour, which sees it whole. Of all
-windows' spans of a text, the set of disjoint ones with the greatest total probability is
+reads every text in overlapping windows. Each window is decoded by itself. A span that
+touches an inner edge of its window is cut: it is joined with the next window's span of the
+same kind that is cut where this one goes on, and so forth, until an end is seen; windows
+that such a span runs into are decoded too. Of all windows' spans of a text, the set of disjoint ones with the greatest total probability is
 kept, next to the base spans, which always stay.
 
 A span must hold a digit or an `@` (there is no such thing among the four kinds without
-one), so windows without either are not decoded; none is skipped for any other reason.
+one), so windows without either are not decoded unless a cut span runs into them; none is skipped for
+any other reason.
 
 The fit uses a bounded sample: of about `FIT_DOCUMENTS` documents, chosen by a hash of the
 id, for each kind, and for windows without a span, at most `PER_KIND` windows of `WINDOW`
@@ -170,24 +172,68 @@ def reconciled(found: dict[Span, float], base: list[Span]) -> list[Span]:
     return out
 
 
+Piece = tuple[int, int, int, float]  # kind, start, end, probability
+
+
+def joined(runs: dict[int, list[Piece]], length: int) -> dict[Span, float]:
+    """Spans of one text from the runs of its windows (by start), the cut ones joined."""
+    def cut_right(p: Piece, s: int) -> bool:
+        return p[2] == s + WINDOW < length
+
+    def next_of(p: Piece, s: int) -> Piece | None:
+        """The same span in the next window, where it begins before the window does."""
+        q = next(iter(runs.get(s + STRIDE, [])), None)
+        return q if q and q[0] == p[0] and q[1] == s + STRIDE and q[2] >= p[1] else None
+
+    out: dict[Span, float] = {}
+    for s, pieces in runs.items():
+        for p in pieces:
+            if p[1] == s > 0:
+                continue  # it begins in an earlier window
+            at, q, end = s, p, p[2]
+            weight, total = p[2] - p[1], (p[2] - p[1]) * p[3]
+            while q and cut_right(q, at):
+                q = next_of(q, at)
+                at += STRIDE
+                if q:
+                    end = max(end, q[2])
+                    weight, total = weight + q[2] - q[1], total + (q[2] - q[1]) * q[3]
+            if q:
+                span, prob = (p[0], p[1], end), total / weight
+                out[span] = max(prob, out.get(span, 0.0))
+    return out
+
+
 def added_spans(texts: list[str], base: list[list[Span]], tagger: Tagger) -> list[list[Span]]:
     """What the tagger adds to the base spans of each text."""
     where = [(i, s) for i, t in enumerate(texts) for s in windows_of(t)]
-    found: dict[int, dict[Span, float]] = {}
-    for a in range(0, len(where), DECODED):
-        part = where[a:a + DECODED]
-        ids = _padded([char_ids(texts[i][s:s + WINDOW]) for i, s in part], np.int16)
-        tags, sure = tagger.decode(ids)
-        for (i, s), row, p in zip(part, tags, sure):
-            n = min(WINDOW, len(texts[i]) - s)
-            for kind, x, y, prob in _tag_runs(row[:n], p[:n]):
-                cut = (x == 0 and s > 0) or (y == n and s + n < len(texts[i]))
-                if prob < SURE or cut or not _SIGNAL.search(texts[i], s + x, s + y):
+    known = set(where)
+    runs: dict[int, dict[int, list[Piece]]] = {}
+    while where:
+        more = []  # windows that cut spans run into
+        for a in range(0, len(where), DECODED):
+            part = where[a:a + DECODED]
+            ids = _padded([char_ids(texts[i][s:s + WINDOW]) for i, s in part], np.int16)
+            tags, sure = tagger.decode(ids)
+            for (i, s), row, p in zip(part, tags, sure):
+                n = min(WINDOW, len(texts[i]) - s)
+                found = [(kind, s + x, s + y, prob) for kind, x, y, prob in _tag_runs(row[:n], p[:n])]
+                if not found:
                     continue
-                mine = found.setdefault(i, {})
-                span = (kind, s + x, s + y)
-                mine[span] = max(prob, mine.get(span, 0.0))
-    return [reconciled(found[i], base[i]) if i in found else [] for i in range(len(texts))]
+                runs.setdefault(i, {})[s] = found
+                beside = [s - STRIDE] * (found[0][1] == s > 0)
+                beside += [s + STRIDE] * (found[-1][2] == s + n < len(texts[i]))
+                for w in beside:
+                    if (i, w) not in known:
+                        known.add((i, w))
+                        more.append((i, w))
+        where = more
+    out = []
+    for i, t in enumerate(texts):
+        found = {x: prob for x, prob in joined(runs.get(i, {}), len(t)).items()
+                 if prob >= SURE and _SIGNAL.search(t, x[1], x[2])}
+        out.append(reconciled(found, base[i]) if found else [])
+    return out
 
 
 # ------------------------------------------------------------ fit
