@@ -71,12 +71,12 @@ def test_matches_plain_version(case):
     docs, labels, rows, plain_labels = case
     want = plain_audit(rows, plain_labels)
     assert result(docs, labels) == want
-    assert result(docs, labels, shard_bytes=700) == want  # many shards
+    assert result(docs, labels, shard_bytes=700, range_bytes=900) == want  # many of both
 
 
 def test_odd_and_empty(odd_docs, rows, no_docs, spark):
     none = spark.createDataFrame([], LABELS)
-    named = odd_docs.withColumns({c: F.lit(0) for c in ("copy_of", "c", "d", "failed", "words")})
+    named = odd_docs.withColumns({c: F.lit(0) for c in ("copy_of", "id", "part", "failed", "words")})
     assert result(named, none) == plain_audit(rows, [])
     assert result(no_docs, none) == []
 
@@ -84,14 +84,16 @@ def test_odd_and_empty(odd_docs, rows, no_docs, spark):
 def test_matrix_holds_every_word(case):
     """CSR blocks and dictionary give back each document's words and counts."""
     docs, _, rows, _ = case
-    shards = A.csr_shards(docs, {"doc_id": F.col("doc_id")}, shard_bytes=5000)
-    terms = A.dictionary(shards)
-    word_of = {r["column"]: bytes(r["word"]) for r in terms.collect()}
+    shards = A.csr_shards(docs, {"id": F.col("doc_id")}, shard_bytes=5000)
+    ranges = A.by_range(shards, range_bytes=800)
+    numbers = A.numbered(ranges)
+    assert numbers.select("part").distinct().count() > 5
+    word_of = {r["column"]: bytes(r["word"]) for r in A.dictionary(ranges, numbers).collect()}
     assert sorted(word_of) == list(range(len(word_of)))
-    assert list(word_of[i] for i in range(len(word_of))) == sorted(word_of.values())
+    assert len(set(word_of.values())) == len(word_of)
     got = []
-    for s in A.document_term_matrix(shards, terms).collect():
-        for i, key in enumerate(s["key_doc_id"]):
+    for s in A.document_term_matrix(shards, numbers).collect():
+        for i, key in enumerate(s["doc_id"]):
             cells = slice(s["starts"][i], s["starts"][i + 1])
             got.append((key, sorted((word_of[c], n) for c, n in zip(s["columns"][cells],
                                                                     s["counts"][cells]))))
@@ -100,3 +102,9 @@ def test_matrix_holds_every_word(case):
         words = [w.encode() for w in WORD.findall(text or "")]
         want.append((doc_id, sorted((w, words.count(w)) for w in set(words))))
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_long_texts_are_split_whole(monkeypatch):
+    monkeypatch.setattr(A, "PIECE", 7)
+    for text in (b"", b"  ", b"aaaaaaaaaaaaaaaaaaaa", b"a bb  ccc\tdddd eeeee ffffff\n ggggggggg h "):
+        assert [w for words in A.words_in(text) for w in words] == text.split()
