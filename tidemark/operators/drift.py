@@ -15,17 +15,18 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.cumulative import PIECE, in_pieces, quantile_hits, running_totals
+from tidemark.operators.cumulative import PIECE, in_pieces, running_totals
 from tidemark.operators.profile import (
-    assign_bins,
+    baseline_values,
     bin_counts,
-    bin_grid,
-    feature_list,
+    bins_from_counts,
+    edges_from_totals,
     present,
     profile_edges,
     to_long,
     with_shares,
 )
+from tidemark.sources.tables import materialize
 
 # Clip of empty shares, PSI limits.
 PSI_EPS = 1e-6
@@ -104,13 +105,11 @@ def ks_statistic(expected: DataFrame, actual: DataFrame, features: Sequence[str]
     return ks_from_long(sided)
 
 
-def ks_against_baseline(baseline: DataFrame, actual: DataFrame, features: Sequence[str]
-                        ) -> DataFrame:
-    """(feature, ks) of wide `actual` against all values of a stored baseline
-    (feature, value, n), see `profile.baseline_values`."""
+def ks_against_baseline(baseline: DataFrame, counts: DataFrame) -> DataFrame:
+    """(feature, ks) of new per-value counts (feature, value, n) against those of a stored
+    baseline, see `profile.baseline_values`."""
     none = F.lit(0).cast("bigint")
-    new = present(to_long(actual, features)).groupBy("feature", "value").agg(
-        none.alias("n_a"), F.count(F.lit(1)).alias("n_b"))
+    new = counts.select("feature", "value", none.alias("n_a"), F.col("n").alias("n_b"))
     old = baseline.select("feature", F.col("value").cast("double").alias("value"),
                           F.col("n").alias("n_a"), none.alias("n_b"))
     both = old.unionByName(new).groupBy("feature", "value").agg(
@@ -119,27 +118,33 @@ def ks_against_baseline(baseline: DataFrame, actual: DataFrame, features: Sequen
 
 
 def report(psi_df: DataFrame, ks_df: DataFrame, digits: int | None = 4) -> DataFrame:
-    """(feature, psi, ks, status): status from the unrounded PSI, then rounding."""
-    joined = psi_df.select("feature", "psi").join(ks_df, "feature", "left")
-    status = psi_status(F.col("psi"))
+    """(feature, psi, ks, status, and `bins` if given): status from the unrounded PSI, then rounding (half to even)."""
+    joined = psi_df.join(ks_df, "feature", "left")
+    status, more = psi_status(F.col("psi")), [c for c in psi_df.columns if c == "bins"]
     if digits is None:
-        return joined.select("feature", "psi", "ks", status.alias("status"))
-    return joined.select("feature", F.round("psi", digits).alias("psi"),
-                         F.round("ks", digits).alias("ks"), status.alias("status"))
+        return joined.select("feature", "psi", "ks", status.alias("status"), *more)
+    return joined.select("feature", F.bround("psi", digits).alias("psi"),
+                         F.bround("ks", digits).alias("ks"), status.alias("status"), *more)
 
 
 def drift_report(reference: DataFrame, new: DataFrame, features: Sequence[str],
                  profile: DataFrame, digits: int | None = 4) -> DataFrame:
     """One row per feature: PSI of `new` on the profile's bins and exact KS between
     the reference data and `new`."""
-    return report(psi(new, features, profile), ks_statistic(reference, new, features), digits)
+    found = psi(new, features, profile).drop("bins")
+    return report(found, ks_statistic(reference, new, features), digits)
 
 
 def drift_from_baseline(new: DataFrame, features: Sequence[str], profile: DataFrame,
                         values: DataFrame, digits: int | None = 4) -> DataFrame:
     """One row per feature: drift of `new` from a stored baseline (its profile and its value
-    counts), without reading the reference data again."""
-    return report(psi(new, features, profile), ks_against_baseline(values, new, features), digits)
+    counts), without reading the reference data again. The new rows are read once: PSI and KS
+    both come out of their stored per-value counts."""
+    counts = materialize(baseline_values(new, features))
+    actual = bins_from_counts(counts, profile_edges(profile), len(features), {"n": "actual_count"})
+    shares = with_shares(actual, "actual_count", "actual_pct")
+    found = psi_from_bins(profile, shares).drop("bins")
+    return report(found, ks_against_baseline(values, counts), digits)
 
 
 def scale_columns(df: DataFrame, factors: Mapping[str, float], where: Column | None = None
@@ -170,24 +175,12 @@ def window_drift(labelled: DataFrame, features: Sequence[str], label_col: str =
     counts = in_pieces(sided_counts(long, label_col, reference, new), ["feature"], "value")
     cum = running_totals(counts, ["feature"], "value", ["n_a", "n_b"])
 
-    # reference deciles: smallest value whose reference running count reaches
-    # max(1, ceil(n_ref * p)); values seen only in the new window never qualify
-    probs = [i / n_bins for i in range(1, n_bins)]
-    hits = quantile_hits(F.col("total_n_a"), F.col("cum_n_a"), F.col("n_a"), probs)
-    found = (cum.filter(F.size(hits) > 0)
-             .groupBy("feature").agg(F.array_sort(F.collect_list("value")).alias("edges")))
-    edges = feature_list(labelled.sparkSession, features).join(found, "feature", "left").select(
-        "feature", F.when(F.coalesce(F.size("edges"), F.lit(0)) > 0, F.col("edges"))
-        .otherwise(F.array(F.lit(0.0))).alias("edges"))
-
-    per_bin = (assign_bins(counts.drop(PIECE), edges, len(features)).groupBy("feature", "bin")
-               .agg(F.sum("n_a").alias("expected_count"), F.sum("n_b").alias("actual_count")))
-    dense = (bin_grid(edges).join(per_bin, ["feature", "bin"], "left")
-             .fillna(0, ["expected_count", "actual_count"]))
+    edges = edges_from_totals(cum, features, n_bins, "n_a")
+    dense = bins_from_counts(counts.drop(PIECE), edges, len(features),
+                             {"n_a": "expected_count", "n_b": "actual_count"})
     shares = with_shares(with_shares(dense, "expected_count", "expected_pct"),
                          "actual_count", "actual_pct")
     psi_df = shares.groupBy("feature").agg(
         psi_terms(F.col("expected_pct"), F.col("actual_pct")).alias("psi"),
         F.count(F.lit(1)).alias("bins"))
-    out = report(psi_df, ks_from_totals(cum), digits)
-    return out.join(psi_df.select("feature", "bins"), "feature")
+    return report(psi_df, ks_from_totals(cum), digits)

@@ -11,15 +11,20 @@ kept with count 0. Null and NaN values are not counted.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions import kll
 from tidemark.functions.exprs import count_at_most, is_present, row_hash
-from tidemark.operators.cumulative import exact_quantiles, value_counts
+from tidemark.operators.cumulative import (
+    exact_quantiles,
+    quantile_hits,
+    running_totals,
+    value_counts,
+)
 
-APPROX_ACCURACY = 1000  # relative error 0.001
 DEFAULT_BINS = 10
 SAMPLE_SIZE = 2000  # rows that the sampling operator returns
 BROADCAST_FEATURES = 100_000  # edge tables of more features are joined without a broadcast
@@ -53,8 +58,9 @@ def quantile_edges(df: DataFrame, features: Sequence[str], n_bins: int = DEFAULT
         per = q.groupBy("feature").agg(
             F.array_sort(F.array_distinct(F.collect_list("value"))).alias("edges"))
     else:
-        per = long.groupBy("feature").agg(F.array_sort(F.array_distinct(
-            F.percentile_approx("value", probs, APPROX_ACCURACY))).alias("edges"))
+        held = long.groupBy("feature").agg(kll.sketch("value").alias("sketch"))
+        per = held.select("feature", F.array_sort(F.array_distinct(
+            kll.quantiles("sketch", probs))).alias("edges"))
     names = feature_list(df.sparkSession, features)
     return names.join(per, "feature", "left").select(
         "feature",
@@ -113,6 +119,39 @@ def baseline_profile(df: DataFrame, features: Sequence[str], n_bins: int = DEFAU
     return with_shares(counts, "expected_count", "expected_pct")
 
 
+def edges_from_totals(totals: DataFrame, features: Sequence[str], n_bins: int = DEFAULT_BINS,
+                      weight: str = "n") -> DataFrame:
+    """(feature, edges): deciles (for n_bins=10) from running totals of per-value counts, see
+    `quantile_edges`. Values that only another side has (weight 0) never qualify."""
+    probs = [i / n_bins for i in range(1, n_bins)]
+    hits = quantile_hits(F.col(f"total_{weight}"), F.col(f"cum_{weight}"), F.col(weight), probs)
+    found = totals.filter(F.size(hits) > 0).groupBy("feature").agg(
+        F.array_sort(F.collect_list("value")).alias("edges"))
+    names = feature_list(totals.sparkSession, features)
+    return names.join(found, "feature", "left").select(
+        "feature", F.when(F.coalesce(F.size("edges"), F.lit(0)) > 0, F.col("edges"))
+        .otherwise(F.array(F.lit(0.0))).alias("edges"))
+
+
+def bins_from_counts(counts: DataFrame, edges: DataFrame, n_features: int,
+                     weights: Mapping[str, str]) -> DataFrame:
+    """(feature, bin, lower, upper, names...): dense histogram of per-value counts on `edges`;
+    `weights` maps each count column to the name of its sum."""
+    per_bin = assign_bins(counts, edges, n_features).groupBy("feature", "bin").agg(
+        *[F.sum(w).alias(name) for w, name in weights.items()])
+    return bin_grid(edges).join(per_bin, ["feature", "bin"], "left").fillna(
+        0, list(weights.values()))
+
+
+def profile_from_counts(counts: DataFrame, features: Sequence[str], n_bins: int = DEFAULT_BINS
+                        ) -> DataFrame:
+    """The baseline profile (exact edges) out of stored per-value counts (feature, value, n):
+    the rows themselves are not read."""
+    edges = edges_from_totals(running_totals(counts, ["feature"], "value", ["n"]), features, n_bins)
+    return with_shares(bins_from_counts(counts, edges, len(features), {"n": "expected_count"}),
+                       "expected_count", "expected_pct")
+
+
 def profile_edges(profile: DataFrame) -> DataFrame:
     """Recover (feature, edges) from a stored profile (lower bounds of its bins)."""
     return profile.groupBy("feature").agg(

@@ -94,6 +94,24 @@ def performance(scored: DataFrame, train_metrics: DataFrame, group_col: str = "m
                     F.try_divide(F.col("window_mae"), F.col("train_mae")).alias("mae_ratio")))
 
 
+def window_performance(rows: DataFrame, target: str, models: Mapping[str, LinearModel],
+                       trained_on: Column, watched: Column) -> DataFrame:
+    """(model, n_rows, train_mae, window_mae, mae_ratio) of every model from one aggregation:
+    the error on the rows `trained_on` holds for (the hold-out) and on those `watched` does."""
+    aggs = [F.count_if(watched).alias("n_rows")]
+    for i, m in enumerate(models.values()):
+        err = F.abs(F.col(target) - m.prediction())
+        aggs += [F.avg(F.when(trained_on, err)).alias(f"_train{i}"),
+                 F.avg(F.when(watched, err)).alias(f"_window{i}")]
+    each = F.array(*[
+        F.struct(F.lit(name).alias("model"), F.col(f"_train{i}").alias("train_mae"),
+                 F.col(f"_window{i}").alias("window_mae"),
+                 F.try_divide(F.col(f"_window{i}"), F.col(f"_train{i}")).alias("mae_ratio"))
+        for i, name in enumerate(models)])
+    return rows.agg(*aggs).select("n_rows", F.inline(each)).select(
+        "model", "n_rows", "train_mae", "window_mae", "mae_ratio")
+
+
 def stack_predictions(df: DataFrame, models: Mapping[str, LinearModel], target: str,
                       keep: Sequence[str] = ()) -> DataFrame:
     """(keep..., model, prediction, abs_error): every row scored by every model."""

@@ -10,13 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions import kll
 from tidemark.functions.exprs import whole_seconds
 from tidemark.operators.cumulative import exact_quantiles
 
 REFERENCE = "reference"
 NEW = "new"
 DEFAULT_FRACTION = 0.7
-APPROX_ACCURACY = 1000  # relative error 0.001
 
 
 def time_cutoff(df: DataFrame, ts_col: str, fraction: float = DEFAULT_FRACTION,
@@ -24,15 +24,15 @@ def time_cutoff(df: DataFrame, ts_col: str, fraction: float = DEFAULT_FRACTION,
     """One row, `cutoff_seconds` bigint: the `fraction` quantile of whole epoch
     seconds of `ts_col` (no row for an empty input).
 
-    exact=True: distributed exact discrete quantile; exact=False:
-    `percentile_approx` with relative error 0.001 (bounded memory, one pass).
+    exact=True: distributed exact discrete quantile; exact=False: from a KLL sketch, one
+    pass in bounded memory, with the rank error that `functions.kll` states.
     """
     secs = df.select(whole_seconds(ts_col).alias("_s")).filter(F.col("_s").isNotNull())
     if exact:
         q = exact_quantiles(secs, [], "_s", [fraction])
         return q.select(F.col("_s").alias("cutoff_seconds"))
-    return (secs.agg(F.percentile_approx("_s", float(fraction), APPROX_ACCURACY)
-                     .alias("cutoff_seconds"))
+    held = secs.agg(kll.sketch(F.col("_s").cast("double")).alias("sketch"))
+    return (held.select(kll.quantiles("sketch", [fraction])[0].cast("long").alias("cutoff_seconds"))
             .filter(F.col("cutoff_seconds").isNotNull()))
 
 

@@ -381,7 +381,7 @@ def quality_counts(spark, sf):
 @query("quality_gate", _with(trips_cte(True), _QUALITY_SQL) + """
 , r AS (SELECT rows_in, rows_out,
               CASE WHEN rows_in = 0 THEN 0.0 ELSE 1.0 - rows_out / rows_in END AS d FROM counts)
-SELECT rows_in, rows_out, round(d, 4) AS dropped_ratio,
+SELECT rows_in, rows_out, round_even(d, 4) AS dropped_ratio,
        rows_out < 1000 AS too_few_rows, d > 0.5 AS too_many_dropped,
        NOT (rows_out < 1000) AND NOT (d > 0.5) AS passed
 FROM r""")
@@ -424,8 +424,8 @@ SELECT feature, bin, lower, upper, n_ref AS expected_count, round(e, 6) AS expec
 FROM shares""")
 def baseline_profile(spark, sf):
     """A7 + A8: bins, counts and shares of the reference window."""
-    return round_doubles(P.baseline_profile(_li_reference(spark, sf), LFEATS),
-                         only=["expected_pct"])
+    values = materialize(P.baseline_values(_li_reference(spark, sf), LFEATS))
+    return round_doubles(P.profile_from_counts(values, LFEATS), only=["expected_pct"])
 
 
 @query("psi_by_feature", _with(LI_CTE, drift_cte(LI_LONG)) + """
@@ -450,7 +450,7 @@ def _trip_report(spark, sf, factors=None, digits=4):
 
 
 _REPORT_SQL = """
-SELECT feature, round(psi, 4) AS psi, round(ks, 4) AS ks, status FROM report"""
+SELECT feature, round_even(psi, 4) AS psi, round_even(ks, 4) AS ks, status FROM report"""
 
 
 @query("drift_report", _with(trips_cte(True), drift_cte(TRIP_LONG)) + _REPORT_SQL)
@@ -472,8 +472,8 @@ def drift_from_stored(spark, sf):
     stored value counts of the reference window, read back from tables."""
     s = ds.silver(spark, sf)
     ref = ds.window(s, REFERENCE)
-    profile = materialize(P.baseline_profile(ref, TFEATS))
     values = materialize(P.baseline_values(ref, TFEATS))
+    profile = materialize(P.profile_from_counts(values, TFEATS))
     return D.drift_from_baseline(ds.window(s, NEW), TFEATS, profile, values)
 
 
@@ -500,7 +500,7 @@ def drift_without_data(spark, sf):
 
 
 @query("drift_alerts", _with(trips_cte(True), drift_cte(TRIP_LONG_SCALED)) + """
-SELECT feature, round(psi, 4) AS psi, status FROM report WHERE status = 'alert'""")
+SELECT feature, round_even(psi, 4) AS psi, status FROM report WHERE status = 'alert'""")
 def drift_alerts(spark, sf):
     """alerting features of the simulated report."""
     return D.alerts(_trip_report(spark, sf, ds.SIMULATION)).select("feature", "psi", "status")
@@ -622,8 +622,11 @@ perf AS (
 
 
 def _performance(spark, sf):
-    stacked = S.stack_predictions(ds.new(spark, sf), ds.LINEAR_MODELS, ds.TARGET)
-    return S.performance(stacked, _metrics(spark, sf))
+    rows = ds.with_split(ds.silver(spark, sf))
+    return S.window_performance(
+        rows, ds.TARGET, ds.LINEAR_MODELS,
+        trained_on=(F.col("window") == REFERENCE) & (F.col("split") == "test"),
+        watched=F.col("window") == NEW)
 
 
 @query("performance_metrics", _with(trips_cte(True)) + _PERF_SQL + """
@@ -677,6 +680,21 @@ def latest_version(spark, sf):
     return R.latest_version(ds.model_versions(spark, sf))
 
 
+_RUN = "run-7"
+
+
+@query("version_of_run", _with(_REGISTRY_CTE) + f"""
+, chosen AS (
+  SELECT model_name, coalesce(max(version) FILTER (WHERE run_id = '{_RUN}'), max(version)) AS version
+  FROM versions GROUP BY model_name
+)
+SELECT c.model_name, c.version, v.run_id, v.rmse, v.mae
+FROM chosen c JOIN versions v USING (model_name, version)""")
+def version_of_run(spark, sf):
+    """the version of a run, or a model's highest where that run has none."""
+    return R.latest_version(ds.model_versions(spark, sf), _RUN)
+
+
 @query("current_alias", _with(_REGISTRY_CTE) + """
 SELECT model_name, alias, version, set_at FROM cur""")
 def current_alias(spark, sf):
@@ -813,7 +831,7 @@ cdf AS (
 ),
 ks AS (SELECT feature, max(abs(fa - fb)) AS ks FROM cdf GROUP BY feature),
 n AS (SELECT count(*) AS n_rows FROM recent)
-SELECT p.feature, round(p.psi, 4) AS psi, round(k.ks, 4) AS ks,
+SELECT p.feature, round_even(p.psi, 4) AS psi, round_even(k.ks, 4) AS ks,
        CASE WHEN p.psi < 0.1 THEN 'ok' WHEN p.psi < 0.25 THEN 'warning' ELSE 'alert' END AS status,
        n.n_rows, 1440 AS window_minutes
 FROM psi p LEFT JOIN ks k USING (feature) CROSS JOIN n
@@ -824,12 +842,12 @@ WHERE n.n_rows >= 30"""
 def request_drift(spark, sf):
     """R2 + G4: drift of the last 1440 minutes of traffic against the training
     profile (PSI) and all baseline values (KS), only with >= 30 records."""
-    ref = ds.reference(spark, sf)
-    profile = materialize(P.baseline_profile(ref, TFEATS))
+    values = materialize(P.baseline_values(ds.reference(spark, sf), TFEATS))
+    profile = materialize(P.profile_from_counts(values, TFEATS))
     log = ds.request_log(spark, sf)
     recent = materialize(Q.recent_records(log, TFEATS, ds.LOOKBACK_MINUTES, as_of=_as_of(log)))
-    return Q.request_report(recent, TFEATS, profile, P.baseline_values(ref, TFEATS),
-                            ds.LOOKBACK_MINUTES, ds.MIN_REQUEST_ROWS)
+    return Q.request_report(recent, TFEATS, profile, values, ds.LOOKBACK_MINUTES,
+                            ds.MIN_REQUEST_ROWS)
 
 
 # ============================================================ model training
