@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.asof import asof_join
+
 CHAMPION = "champion"
 CHALLENGER = "challenger"
 
@@ -44,6 +46,16 @@ def current_alias(aliases: DataFrame) -> DataFrame:
             .select("model_name", "alias", "c.version", "c.set_at"))
 
 
+def in_force(rows: DataFrame, aliases: DataFrame, alias: str, time_column: str,
+             model_column: str = "model_name") -> DataFrame:
+    """`rows` with `version` and `set_at`: who held `alias` of the row's model at the row's
+    time (ties of moves: the higher version); nulls before its first move."""
+    moves = aliases.filter(F.col("alias") == alias).select(
+        F.col("model_name").alias(model_column), "version", "set_at")
+    return asof_join(rows, moves, [model_column], time_column, "set_at", ["version", "set_at"],
+                     tie=["version"])
+
+
 def decide_alias(new_rmse: Column, champion_exists: Column, champion_rmse: Column) -> Column:
     """No champion → champion; champion without RMSE, or strictly better → champion;
     otherwise (ties included) → challenger."""
