@@ -62,3 +62,20 @@ def test_request_log_adapter_roundtrip(spark, events_small):
     want = events_small.filter((F.floor(F.col("event_id") / 5) % 20) != 0).agg(
         F.sum(F.col("value") / 10.0)).first()[0]
     assert abs(s - want) < 1e-6
+
+
+def test_rejects_are_counted_by_reason(spark):
+    ok = {"dataframe_records": [REC, {**REC, "trip_distance": "far"}, {"pickup_dow": None}, 7]}
+    bodies = ["{cut", None, "[1]", json.dumps({"dataframe_records": {}}), "null",
+              json.dumps({"dataframe_records": []}), json.dumps(ok), json.dumps(ok)]
+    log = _log(spark, bodies).unionByName(_log(spark, [json.dumps(ok)], status=500)).unionByName(
+        _log(spark, [json.dumps(ok)], status=None))
+    got = {(r["level"], r["reason"]): r["n"] for r in Q.reject_counts(log, FEATS).collect()}
+    assert got == {
+        ("request", "not_json"): 1, ("request", "no_body"): 1, ("request", "no_records"): 3,
+        ("request", "empty"): 1, ("request", "not_served"): 2, ("request", "ok"): 2,
+        ("record", "ok"): 2, ("record", "trip_distance_unreadable"): 2, ("record", "not_a_record"): 2,
+        **{("record", f"{f}_missing"): 2 for f in FEATS}}
+    aside = Q.quarantine(log)
+    assert aside.count() == 8 and set(log.columns) < set(aside.columns)
+    assert Q.reject_counts(log.limit(0), FEATS).count() == 0

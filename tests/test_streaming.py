@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 from tidemark.operators import drift as D
 from tidemark.operators import profile as P
 from tidemark.operators import requests as Q
+from tidemark.operators import sketches as K
 from tidemark.operators.clean import TRIP_FEATURES
 from tidemark.plans.datasets import build_silver
 from tidemark.sources.adapters import request_log_from_events, trips_from_events
+from tidemark.sources.tables import materialize
 from tidemark.streaming.request_bins import (
-    append_once,
     start_request_drift_stream,
+    start_request_sketch_stream,
+    store_batch,
     window_psi,
 )
 
@@ -22,7 +25,6 @@ from tidemark.streaming.request_bins import (
 def test_stream_matches_batch_bins(spark, events_small):
     silver = build_silver(trips_from_events(events_small))
     profile = P.baseline_profile(silver.filter("window = 'reference'"), TRIP_FEATURES)
-    from tidemark.sources.tables import materialize
     profile = materialize(profile)
     scratch = tempfile.mkdtemp(prefix="tidemark-stream-")
     src = os.path.join(scratch, "log")
@@ -73,8 +75,40 @@ def test_window_psi_counts_records_and_knows_missing_data(spark):
 def test_replayed_batch_adds_nothing(spark):
     rows = window_psi(_counts(spark), _profile(spark), ["x", "y"])
     for _ in range(2):
-        append_once(rows, "replayed_psi", "stream-a", 7)
+        store_batch(rows, "replayed_psi", "stream-a", 7)
     assert spark.table("replayed_psi").count() == 4
-    append_once(rows, "replayed_psi", "stream-a", 8)
-    append_once(rows, "replayed_psi", "stream-b", 7)
+    store_batch(rows, "replayed_psi", "stream-a", 8)
+    store_batch(rows, "replayed_psi", "stream-b", 7)
     assert spark.table("replayed_psi").count() == 12
+
+
+def test_sketch_stream_is_within_the_bounds_of_the_batch(spark, events_check, tmp_path):
+    """PSI and KS of every closed window, from sketches kept as state over several files."""
+    reference = materialize(build_silver(trips_from_events(events_check)).filter(
+        "window = 'reference'"))
+    edges = materialize(P.quantile_edges(reference, TRIP_FEATURES))
+    sketches = materialize(K.feature_sketches(reference, TRIP_FEATURES))
+    log = request_log_from_events(events_check)
+    src = str(tmp_path / "log")
+    log.repartitionByRange(6, "request_time").write.parquet(src)
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 2).parquet(src)
+    q = start_request_sketch_stream(stream, TRIP_FEATURES, sketches, edges, "stream_sketches",
+                                    str(tmp_path / "ckpt"), window="7 days", watermark="2 days",
+                                    trigger={"availableNow": True})
+    q.awaitTermination(600)
+    out = spark.table("stream_sketches").collect()
+    windows = {(r["window"]["start"], r["window"]["end"]) for r in out}
+    assert len(windows) > 2 and len(out) == len(windows) * len(TRIP_FEATURES)
+    records = materialize(Q.parse_requests(log, TRIP_FEATURES))
+    profile = materialize(P.baseline_profile(reference, TRIP_FEATURES, edges=edges))
+    for start, end in sorted(windows)[:3]:
+        inside = records.filter((F.col("request_time") >= F.lit(start))
+                                & (F.col("request_time") < F.lit(end)))
+        ks = {r["feature"]: r["ks"] for r in D.ks_statistic(reference, inside, TRIP_FEATURES).collect()}
+        psi = {r["feature"]: r["psi"] for r in D.psi(inside, TRIP_FEATURES, profile).collect()}
+        n = inside.count()
+        for r in out:
+            if r["window"]["start"] == start:
+                assert r["n_rows"] == n
+                assert r["ks_low"] <= ks[r["feature"]] <= r["ks_high"]
+                assert r["psi_low"] - 1e-9 <= psi[r["feature"]] <= r["psi_high"] + 1e-9

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.rules import Rule, all_pass
@@ -51,19 +51,19 @@ def quality_counts(typed: DataFrame, rules: Sequence[Rule], key_cols: Sequence[s
 
 def quality_verdict(counts: DataFrame, min_rows: int = MIN_ROWS,
                     max_drop_ratio: float = MAX_DROP_RATIO) -> DataFrame:
-    """Adds `too_few_rows`, `too_many_dropped`, `passed`, `dropped_ratio` rounded to 4."""
+    """Adds `too_few_rows`, `too_many_dropped`, `passed`, `dropped_ratio` rounded to 4 (half to even)."""
     few = F.col("rows_out") < min_rows
     many = F.col("dropped_ratio") > max_drop_ratio
     return counts.select(
-        "rows_in", "rows_out", F.round("dropped_ratio", 4).alias("dropped_ratio"),
+        "rows_in", "rows_out", F.bround("dropped_ratio", 4).alias("dropped_ratio"),
         few.alias("too_few_rows"), many.alias("too_many_dropped"),
         (~few & ~many).alias("passed"))
 
 
-def table_counts(rows_in: DataFrame, rows_out: DataFrame) -> DataFrame:
-    """The one-row frame of `quality_counts` from two tables: what came in, what is left."""
-    n = F.count(F.lit(1))
-    both = rows_in.agg(n.alias("rows_in")).withColumn("rows_out", rows_out.agg(n).scalar())
+def counted(spark: SparkSession, rows_in: int, rows_out: int) -> DataFrame:
+    """The one-row frame of `quality_counts` from counts that a write has observed."""
+    both = spark.range(1).select(F.lit(rows_in).cast("long").alias("rows_in"),
+                                 F.lit(rows_out).cast("long").alias("rows_out"))
     return both.withColumn("dropped_ratio", dropped_ratio(F.col("rows_in"), F.col("rows_out")))
 
 

@@ -50,6 +50,71 @@ def recent_records(payload: DataFrame, features: Sequence[str], minutes: int,
     return parse_requests(lookback(payload, minutes, as_of), features)
 
 
+# ---------------------------------------------------------------- quarantine
+# Reasons why a request, or a record of a readable request, gives no features.
+NOT_SERVED, NO_BODY, NOT_JSON = "not_served", "no_body", "not_json"
+NO_RECORDS, EMPTY, NOT_A_RECORD = "no_records", "empty", "not_a_record"
+
+
+def _body() -> Column:
+    return F.try_parse_json("request")
+
+
+def _records(body: Column) -> Column:
+    return F.try_variant_get(body, f"$.{RECORDS}", "array<variant>")
+
+
+def request_reason() -> Column:
+    """Why a logged request gives no record; null for one that gives some. The body is read
+    as VARIANT, so any JSON can be told from text that is none."""
+    body, records = _body(), _records(_body())
+    return (F.when(F.coalesce(F.col("status_code") != OK_STATUS, F.lit(True)), F.lit(NOT_SERVED))
+            .when(F.col("request").isNull(), F.lit(NO_BODY))
+            .when(body.isNull(), F.lit(NOT_JSON))
+            .when(records.isNull(), F.lit(NO_RECORDS))
+            .when(F.size(records) == 0, F.lit(EMPTY)))
+
+
+def record_reasons(record: Column, features: Sequence[str]) -> Column:
+    """array<string>: what is wrong with a record (a VARIANT): `<feature>_missing`,
+    `<feature>_unreadable`, or that it is no object at all."""
+    def of(f: str) -> Column:
+        text = F.try_variant_get(record, f"$.{f}", "string")
+        number = F.try_variant_get(record, f"$.{f}", "double")
+        return (F.when(text.isNull(), F.lit(f"{f}_missing"))
+                .when(number.isNull(), F.lit(f"{f}_unreadable")))
+
+    is_object = F.startswith(F.schema_of_variant(record), F.lit("OBJECT"))
+    return F.when(F.coalesce(is_object, F.lit(False)), F.array_compact(F.array(*map(of, features)))
+                  ).otherwise(F.array(F.lit(NOT_A_RECORD)))
+
+
+def quarantine(payload: DataFrame) -> DataFrame:
+    """The logged requests that give no record, with their `reason`, to be stored aside."""
+    return payload.withColumn("reason", request_reason()).filter(F.col("reason").isNotNull())
+
+
+def reject_counts(payload: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(level, reason, n): requests without records by reason, records by every reason they
+    have, and what is left (`ok`), so that nothing disappears uncounted. One pass."""
+    reason = request_reason()
+    records = F.transform(_records(_body()), lambda r: record_reasons(r, features))
+
+    def entries(level: str, reasons: Column) -> Column:
+        return F.transform(reasons, lambda x: F.struct(F.lit(level).alias("level"),
+                                                       x.alias("reason")))
+
+    def or_ok(reasons: Column) -> Column:
+        return F.when(F.size(reasons) > 0, reasons).otherwise(F.array(F.lit("ok")))
+
+    found = F.concat(
+        entries("request", F.array(F.coalesce(reason, F.lit("ok")))),
+        F.when(reason.isNull(), entries("record", F.flatten(F.transform(records, or_ok))))
+        .otherwise(F.array().cast("array<struct<level:string,reason:string>>")))
+    return payload.select(F.inline(found)).groupBy("level", "reason").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 # The valid ranges of a request (serving-side validation):
 # distance (0, 100], duration (0, 240], hour [0, 23], day of week [1, 7].
 def request_rules() -> list[Rule]:

@@ -31,6 +31,13 @@ BAD_NUMBER_EVERY = 301
 EMPTY_FARE_EVERY = 311
 EVENTS_PER_REQUEST = 5
 FAILED_REQUEST_EVERY = 20
+CUT_BODY_EVERY = 17
+LIST_BODY_EVERY = 19
+EMPTY_BODY_EVERY = 23
+NO_BODY_EVERY = 29
+OTHER_NAME_EVERY = 31
+WORD_FOR_NUMBER_EVERY = 37
+TEXT_RECORDS_EVERY = 41
 
 
 def trips_from_events(events: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
@@ -75,8 +82,9 @@ def trips_as_text(events: DataFrame) -> DataFrame:
         spoiled("fare_amount", EMPTY_FARE_EVERY, F.lit("")).alias("fare_amount"))
 
 
-def request_log_from_events(events: DataFrame) -> DataFrame:
-    """Logged requests: `request_time timestamp, status_code int, request string`.
+def request_log_from_events(events: DataFrame, numbered: bool = False) -> DataFrame:
+    """Logged requests: `request_time timestamp, status_code int, request string`, and `g`
+    if they are to be numbered.
 
     Group g = event_id div 5 (at most five events per request, so every group
     is bounded); `request_time` is the latest event time of the group.
@@ -97,7 +105,7 @@ def request_log_from_events(events: DataFrame) -> DataFrame:
              F.array_sort(F.collect_list(F.struct("event_id", "rec"))).alias("recs"))
     )
     return grouped.select(
-        F.col("request_time"),
+        *(["g"] if numbered else []), F.col("request_time"),
         F.when(F.col("g") % FAILED_REQUEST_EVERY == 0, F.lit(500)).otherwise(F.lit(200))
         .alias("status_code"),
         F.to_json(F.struct(F.transform("recs", lambda r: r["rec"]).alias("dataframe_records")))
@@ -105,6 +113,27 @@ def request_log_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+def spoiled_request_log(events: DataFrame, numbered: bool = False) -> DataFrame:
+    """The request log as a careless client writes it: bodies that are cut, lists, empty or
+    missing, records that are texts, a feature under another name, a word for a number."""
+    def every(n: int) -> Column:
+        return F.col("g") % n == 0
+
+    body = F.col("request")
+    spoiled = (
+        F.when(every(CUT_BODY_EVERY), F.substring(body, 1, 25))
+        .when(every(LIST_BODY_EVERY), F.lit("[1, 2]"))
+        .when(every(EMPTY_BODY_EVERY), F.lit('{"dataframe_records": []}'))
+        .when(every(NO_BODY_EVERY), F.lit(None).cast("string"))
+        .when(every(OTHER_NAME_EVERY), F.replace(body, F.lit('"trip_distance"'), F.lit('"miles"')))
+        .when(every(WORD_FOR_NUMBER_EVERY),
+              F.regexp_replace(body, '"duration_min":[0-9.]+', '"duration_min":"long"'))
+        .when(every(TEXT_RECORDS_EVERY), F.lit('{"dataframe_records": ["a", "b"]}'))
+        .otherwise(body))
+    log = request_log_from_events(events, numbered=True).withColumn("request", spoiled)
+    return log if numbered else log.drop("g")
+
+
 LINEITEM_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 

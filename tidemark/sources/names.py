@@ -8,10 +8,12 @@ from dataclasses import dataclass, field
 TABLES = {
     "bronze": "bronze_trips",
     "silver": "silver_trips",
+    "silver_sketches": "silver_sketches",
     "predictions": "predictions",
     "drift_metrics": "drift_metrics",
     "performance_metrics": "performance_metrics",
     "endpoint_drift_metrics": "endpoint_drift_metrics",
+    "request_rejects": "request_rejects",
     "baseline_bins": "baseline_bins",
     "baseline_values": "baseline_values",
     "baseline_sample": "baseline_sample",

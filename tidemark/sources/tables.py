@@ -39,6 +39,28 @@ def append_table(df: DataFrame, name: str) -> None:
     df.write.mode("append").saveAsTable(name)
 
 
+RUN = "run_key"
+
+
+def store_run(df: DataFrame, name: str, run_key: str) -> None:
+    """Rows of one run of a job, in a report table partitioned by run: storing a run again
+    replaces its rows and no others, so a job that is retried adds nothing twice. Columns are
+    matched by name. (A run that is stored again without rows keeps those it had.)"""
+    spark = df.sparkSession
+    tagged = df.withColumn(RUN, F.lit(run_key))
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tagged.schema.fields)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+                  f"PARTITIONED BY ({RUN})")
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        tagged.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage of an intermediate that several branches of a plan read.
 
