@@ -1,11 +1,16 @@
 """End to end on the sf0.001 test tables: every job, every table it writes."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import drift as D
 from tidemark.operators import learn
+from tidemark.operators import requests as Q
 from tidemark.operators.clean import TRIP_FEATURES
 from tidemark.plans import jobs
+from tidemark.plans.datasets import build_silver
 from tidemark.sources.adapters import request_log_from_events, trips_from_events
 from tidemark.sources.names import TableNames
 
@@ -91,12 +96,75 @@ def test_request_monitor(spark, names, events_small):
     log = request_log_from_events(events_small)
     log.write.mode("overwrite").saveAsTable(names.payload)
     as_of = log.agg(F.max("request_time")).scalar()
-    report, n = jobs.run_request_monitor(spark, names, minutes=30 * 24 * 60, min_rows=30,
-                                         as_of=as_of)
-    assert n > 30 and report is not None
+    report = jobs.run_request_monitor(spark, names, minutes=30 * 24 * 60, min_rows=30,
+                                      as_of=as_of, run_key="noon")
+    assert report.count() == 4 and report.first()["n_rows"] > 30
+    assert spark.table(names.endpoint_drift_metrics).count() == 4
+    rejects = spark.table(names.request_rejects).filter("level = 'request' and reason <> 'ok'")
+    assert {r["reason"] for r in rejects.collect()} == {Q.NOT_SERVED}
+    # the scheduler runs it again: the run's rows are replaced
+    jobs.run_request_monitor(spark, names, minutes=30 * 24 * 60, as_of=as_of, run_key="noon")
     assert spark.table(names.endpoint_drift_metrics).count() == 4
-    none, n2 = jobs.run_request_monitor(spark, names, minutes=1, min_rows=30, as_of=as_of)
-    assert none is None and n2 < 30
+    few = jobs.run_request_monitor(spark, names, minutes=1, min_rows=10**6, as_of=as_of)
+    assert few.count() == 0 and spark.table(names.endpoint_drift_metrics).count() == 4
+
+
+def test_a_retried_monitor_adds_nothing(spark, names):
+    before = {t: spark.table(t).count() for t in (names.drift_metrics, names.performance_metrics)}
+    for _ in range(2):
+        jobs.run_monitor(spark, names, run_key="nightly-17")
+    assert spark.table(names.drift_metrics).count() == before[names.drift_metrics] + 4
+    assert spark.table(names.performance_metrics).count() == before[names.performance_metrics] + 1
+
+
+def test_concurrent_trainers_get_versions_of_their_own(spark, names, tmp_path):
+    cfg = jobs.JobConfig(model_root=f"file://{tmp_path}/models")
+    with ThreadPoolExecutor(8) as pool:
+        got = list(pool.map(lambda _: jobs.allocate_version(spark, names, cfg), range(12)))
+    last = spark.table(names.model_versions).agg(F.max("version")).first()[0]
+    assert sorted(got) == list(range(last + 1, last + 13))
+
+
+def test_baseline_of_a_version_is_one_partition(spark, names):
+    _, values = jobs._baseline(spark, names, 1)
+    plan = values._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_key" in plan
+    ref = spark.table(names.silver).filter("window = 'reference'").count()
+    assert {r["n"] for r in values.groupBy("feature").agg(F.sum("n").alias("n")).collect()} == {ref}
+
+
+def test_sketch_monitor_agrees_with_the_rows(spark, names):
+    days = spark.table(names.silver_sketches).filter("window = 'new'").agg(
+        F.min("day").cast("string"), F.max("day").cast("string")).first()
+    told = {r["feature"]: r for r in jobs.run_sketch_monitor(spark, names, *days).collect()}
+    exact = {r["feature"]: r for r in D.drift_from_baseline(
+        spark.table(names.silver).filter("window = 'new'"), TRIP_FEATURES,
+        *jobs._baseline(spark, names, 1), digits=None).collect()}
+    assert set(told) == set(TRIP_FEATURES)
+    for f, r in told.items():
+        assert r["ks_low"] <= exact[f]["ks"] <= r["ks_high"]
+        assert r["psi_low"] - 1e-9 <= exact[f]["psi"] <= r["psi_high"] + 1e-9
+
+
+def test_failed_publication_keeps_predictions(spark, names):
+    before = spark.table(names.predictions).count()
+    broken = spark.table(names.silver).withColumn("prediction", F.raise_error(F.lit("no disk")))
+    with pytest.raises(Exception, match="no disk"):
+        jobs._publish(broken, names.predictions, jobs.JobConfig())
+    assert spark.table(names.predictions).count() == before
+
+
+def test_silver_from_batches_serves_the_other_jobs(spark, events_small):
+    n = TableNames(schema="tidemark_batches")
+    trips = trips_from_events(events_small)
+    for batch, part in enumerate((trips.filter("trip_id < 400"), trips, trips)):
+        jobs.run_silver_batch(spark, n, part, batch)
+    whole = build_silver(trips)
+    columns = whole.columns
+    assert sorted(spark.table(n.silver).select(*columns).collect()) == sorted(whole.collect())
+    jobs.run_train(spark, n, estimators=("linear_regression",))
+    assert jobs.run_score(spark, n) == whole.filter("window = 'new'").count()
+    assert jobs.run_monitor(spark, n).count() == 4
 
 
 def test_three_models_train_and_best_is_min(spark, events_small):
