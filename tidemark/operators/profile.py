@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from tidemark.functions import kll
 from tidemark.functions.exprs import count_at_most, is_present, row_hash
 from tidemark.operators.cumulative import (
+    PIECE,
     exact_quantiles,
+    in_pieces,
     quantile_hits,
     running_totals,
     value_counts,
@@ -145,10 +147,10 @@ def bins_from_counts(counts: DataFrame, edges: DataFrame, n_features: int,
 
 def profile_from_counts(counts: DataFrame, features: Sequence[str], n_bins: int = DEFAULT_BINS
                         ) -> DataFrame:
-    """The baseline profile (exact edges) out of stored per-value counts (feature, value, n):
-    the rows themselves are not read."""
+    """The baseline profile (exact edges) out of stored per-value counts (feature, value, n),
+    plain or as `stored_values` has them: the rows themselves are not read."""
     edges = edges_from_totals(running_totals(counts, ["feature"], "value", ["n"]), features, n_bins)
-    return with_shares(bins_from_counts(counts, edges, len(features), {"n": "expected_count"}),
+    return with_shares(bins_from_counts(counts.drop(PIECE), edges, len(features), {"n": "expected_count"}),
                        "expected_count", "expected_pct")
 
 
@@ -164,6 +166,12 @@ def baseline_values(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return value_counts(to_long(df, features), ["feature"], "value")
 
 
+def stored_values(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """`baseline_values`, written once in (feature, value) order and read back: every later
+    running total over them starts from the stored pieces."""
+    return in_pieces(baseline_values(df, features), ["feature"], "value")
+
+
 def sample_values(df: DataFrame, features: Sequence[str], key_cols: Sequence[str],
                   k: int = SAMPLE_SIZE) -> DataFrame:
     """(feature, value): per feature the k present values whose rows have the smallest

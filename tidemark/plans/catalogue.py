@@ -424,7 +424,7 @@ SELECT feature, bin, lower, upper, n_ref AS expected_count, round(e, 6) AS expec
 FROM shares""")
 def baseline_profile(spark, sf):
     """A7 + A8: bins, counts and shares of the reference window."""
-    values = materialize(P.baseline_values(_li_reference(spark, sf), LFEATS))
+    values = P.stored_values(_li_reference(spark, sf), LFEATS)
     return round_doubles(P.profile_from_counts(values, LFEATS), only=["expected_pct"])
 
 
@@ -472,7 +472,7 @@ def drift_from_stored(spark, sf):
     stored value counts of the reference window, read back from tables."""
     s = ds.silver(spark, sf)
     ref = ds.window(s, REFERENCE)
-    values = materialize(P.baseline_values(ref, TFEATS))
+    values = P.stored_values(ref, TFEATS)
     profile = materialize(P.profile_from_counts(values, TFEATS))
     return D.drift_from_baseline(ds.window(s, NEW), TFEATS, profile, values)
 
@@ -842,7 +842,7 @@ WHERE n.n_rows >= 30"""
 def request_drift(spark, sf):
     """R2 + G4: drift of the last 1440 minutes of traffic against the training
     profile (PSI) and all baseline values (KS), only with >= 30 records."""
-    values = materialize(P.baseline_values(ds.reference(spark, sf), TFEATS))
+    values = P.stored_values(ds.reference(spark, sf), TFEATS)
     profile = materialize(P.profile_from_counts(values, TFEATS))
     log = ds.request_log(spark, sf)
     recent = materialize(Q.recent_records(log, TFEATS, ds.LOOKBACK_MINUTES, as_of=_as_of(log)))
