@@ -71,6 +71,68 @@ def test_judge(spark):
     assert urls.judge(extra.select("page_id", "url"), urls.learn(extra)).count() == pages.count()
 
 
+def plain_bayes(pages, split):
+    """Probability of block of (host, path) by counting in a dictionary."""
+    words, n_pages = {"allow": {}, "block": {}}, {"allow": 0, "block": 0}
+    for url in pages:
+        host, path, rule = plain_url(url)
+        if rule:
+            n_pages[urls.RULES[rule]] += 1
+            for t in urls.tokens(host, path, split):
+                own = words[urls.RULES[rule]]
+                own[t] = own.get(t, 0) + 1
+    n_block = sum(words["block"].values())
+    for seed in urls.SEEDS:
+        words["block"]["h:" + seed] = words["block"].get("h:" + seed, 0) + max(
+            1.0, urls.SEED_SHARE * n_block)
+    known = set(words["allow"]) | set(words["block"])
+
+    def score(host, path):
+        logs = {}
+        for v in words:
+            mass = sum(words[v].values()) + len(known) + 1
+            logs[v] = math.log(n_pages[v] + 1) + sum(
+                math.log((words[v].get(t, 0) + 1) / mass) for t in urls.tokens(host, path, split))
+        return 1 / (1 + math.exp(max(-40, min(40, logs["allow"] - logs["block"]))))
+    return score
+
+
+def test_naive_bayes_is_that_of_all_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    model = urls.learn(pages)
+    score = plain_bayes([r["url"] for r in pages.select("url").collect()], model.segmenter)
+    for r in urls.judge(pages.select("url"), model).collect():
+        assert math.isclose(r["p_block"], score(r["host"], r["path"]), rel_tol=1e-6)
+
+
+def test_held_out_pages_get_their_rule_s_verdict(spark):
+    """The classifier alone, on rule-decided pages whose verdicts it has not seen."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    held = F.crc32(F.col("page_id").cast("string").cast("binary")) % 4 == 2
+    model = urls.learn(pages.filter(~held))
+    out = urls.judge(pages.filter(held).select("page_id", "url"), model).filter("rule is not null")
+    said = out.withColumn("said", F.col("p_block") > 0.5).withColumn(
+        "block", F.col("verdict") == "block").groupBy("block").agg(
+        F.avg(F.col("said").cast("double")).alias("share"), F.count("*").alias("n")).collect()
+    share = {r["block"]: r["share"] for r in said}
+    assert min(r["n"] for r in said) > 40
+    assert share[True] >= 0.9 and share[False] <= 0.05, share
+
+
+def test_words_of_all_scripts_and_lengths(spark):
+    long = "donaudampfschifffahrtsgesellschaftskapitaensmuetze"
+    html = (f"<script>var hidden = 1;</script><p class='markup'>réseau {long} сеть&nbsp;réseau</p>"
+            "<!-- comment -->")
+    pages = spark.createDataFrame([(1, "http://x.net/", html)] * 3,
+                                  "page_id long, url string, html string")
+    split = urls.segmenter(pages)
+    assert {"réseau", "reseau", "сеть", long} <= set(split.cost)
+    assert not {"hidden", "markup", "comment", "p", "script"} & set(split.cost)
+    assert split.split(f"reseau{long}сеть") == ["reseau", long, "сеть"]
+    assert split.split("q" * 5000) == ["q" * 5000]
+    assert urls.tokens("сеть.рф", "/ñ/12", split)[:2] == ["h:сеть", "h:рф"]
+
+
 def plain_matches(text):
     out = []
     for i, line in enumerate([text or "", *(text or "").split("\n")]):

@@ -5,11 +5,14 @@ longest fitting rule decides. Where none fits, the host's labels are split into
 a unigram Viterbi segmentation ("cheappills" -> "cheap", "pills"), and a multinomial
 naive Bayes over the words of host and path decides.
 
-* Unigrams: counts of the words of all pages (`html`); words of a share of at least
-  `MIN_WORD_SHARE` are kept, so the lexicon has at most `1 / MIN_WORD_SHARE` entries.
-* Naive Bayes: host and path words of all pages that a rule decides, labelled by the
-  rule, plus the words of `SEEDS` for the class block. Words of a share of at least
-  `MIN_TOKEN_SHARE` are kept, bounded likewise; the others share the unseen word's mass.
+* Unigrams: counts of the words of all pages' texts (without markup, scripts and styles), in
+  any script and of any length; a word counts for its form without accents, too, as hosts are
+  written so. Words of a share of at least `MIN_WORD_SHARE` are kept, so the lexicon has at
+  most `2 / MIN_WORD_SHARE` entries.
+* Naive Bayes: the words of host and path, and the place they lead to as one token (`com de
+  <number 4>`), of all pages that a rule decides, labelled by the rule; each of `SEEDS` is a
+  pseudo-count of the class block. Tokens of a share of at least `MIN_TOKEN_SHARE` are kept,
+  bounded likewise; the others share the unseen token's mass.
 
 Edge cases: a null url or one without `://` has an empty host and path, no rule, and the
 verdict of the class priors; null html counts as no words; repeated pages are judged one
@@ -18,8 +21,10 @@ by one; without any rule-decided page the priors are even.
 
 from __future__ import annotations
 
+import html as markup
 import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -44,13 +49,13 @@ RULES = {
 SEEDS = ("adult", "bet", "bonus", "casino", "cheap", "click", "farm", "free", "gamble", "loan",
          "lottery", "pharmacy", "pills", "poker", "porn", "spam", "viagra", "winner", "xxx")
 
-SEED_SHARE = 0.05  # count of each seed, as a share of the block class's words
+SEED_SHARE = 0.01  # pseudo-count of each seed, as a share of the block class's tokens
 MIN_WORD_SHARE = 2e-6
 MIN_TOKEN_SHARE = 1e-5
-LONGEST_WORD = 24
-CACHED_LABELS = 200_000
-_WORD = re.compile("[a-z]+|[0-9]+")
-_HTML_WORD = re.compile(r"[a-z]+")
+CACHED_LETTERS = 4 << 20  # of split labels, per worker
+_WORD = re.compile(r"[^\W\d_]+|\d+")
+_LETTERS = re.compile(r"[^\W\d_]+")
+_HIDDEN = re.compile(r"<!--.*?-->|<(script|style)\b.*?</\1\s*>|<[^>]*>", re.DOTALL | re.IGNORECASE)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -89,48 +94,77 @@ def rule_verdict(rule: Column, rules: dict[str, str] = RULES) -> Column:
 
 # ------------------------------------------------------------ segmentation
 class Segmenter:
-    """Most likely split of a label into words, by dynamic programming over unigrams."""
+    """Most likely split of a label into words, by dynamic programming over unigrams.
+
+    Known words are tried at every length the lexicon has; an unknown word's cost grows with
+    its letters alone, so the best one that ends at a letter follows from a running minimum,
+    whatever its length.
+    """
+
+    LETTER = math.log(10)  # what an unknown word costs with every letter
 
     def __init__(self, counts: dict[str, int], total: int):
         self.total = max(total, 1)
         self.cost = {w: -math.log(n / self.total) for w, n in counts.items()}
-        self.longest = min(LONGEST_WORD, max(map(len, counts), default=1))
+        self.lengths = sorted({len(w) for w in counts})
         self.cache: dict[str, list[str]] = {}
+        self.cached = 0
 
     def unseen(self, length: int) -> float:
-        """An unknown word costs more with every letter."""
-        return math.log(self.total) + length * math.log(10)
+        return math.log(self.total) + length * self.LETTER
 
     def split(self, label: str) -> list[str]:
         if label in self.cache:
             return self.cache[label]
         best, back = [0.0], [0]
+        low, at = 0.0, 0  # the cheapest start of an unknown word, its letters before it taken off
         for end in range(1, len(label) + 1):
-            cost, start = min(
-                (best[s] + self.cost.get(label[s:end], self.unseen(end - s)), s)
-                for s in range(max(0, end - self.longest), end))
+            cost, start = low + end * self.LETTER + math.log(self.total), at
+            for n in self.lengths:
+                if n > end:
+                    break
+                known = self.cost.get(label[end - n:end])
+                if known is not None and best[end - n] + known <= cost:
+                    cost, start = best[end - n] + known, end - n
             best.append(cost)
             back.append(start)
+            if cost - end * self.LETTER < low:
+                low, at = cost - end * self.LETTER, end
         words, end = [], len(label)
         while end:
             words.append(label[back[end]:end])
             end = back[end]
-        if len(self.cache) >= CACHED_LABELS:
+        self.cached += len(label)
+        if self.cached > CACHED_LETTERS:
             self.cache.clear()
+            self.cached = len(label)
         self.cache[label] = words[::-1]
         return self.cache[label]
 
 
+def plain(word: str) -> str:
+    """The word without accents."""
+    return "".join(c for c in unicodedata.normalize("NFKD", word) if not unicodedata.combining(c))
+
+
+def shown(page: str) -> str:
+    """The text of a page, without markup, scripts and styles."""
+    return markup.unescape(_HIDDEN.sub(" ", page))
+
+
 def tokens(host: str, path: str, segmenter: Segmenter) -> list[str]:
-    """Words of host and path; numbers stand for their length."""
-    out = []
-    for mark, part in (("h:", host), ("p:", path.lower())):
-        for label in _WORD.findall(part):
+    """Words of host and path, and the place they lead to: the host's last word with the first
+    words of the path, up to two. A number stands for its first digit."""
+    words: dict[str, list[str]] = {}
+    for part, text in (("h", host), ("p", path)):
+        words[part] = []
+        for label in _WORD.findall(text.lower()):
             if label[0].isdigit():
-                out.append(f"{mark}<{len(label)} digits>")
+                words[part].append(f"{part}:<number {label[0]}>")
             else:
-                out += [mark + w for w in segmenter.split(label)]
-    return out
+                words[part] += [f"{part}:{w}" for w in segmenter.split(label)]
+    place = [" ".join([*words["h"][-1:], *words["p"][:2]])] if words["p"] else []
+    return words["h"] + words["p"] + place
 
 
 @dataclass
@@ -153,7 +187,7 @@ def word_counts(text: Column, source: DataFrame) -> DataFrame:
         counts: Counter[str] = Counter()
         for batch in batches:
             for value in batch.column(0).to_pylist():
-                counts.update(_HTML_WORD.findall(value.lower()))
+                counts.update(_LETTERS.findall(shown(value).lower()))
             if len(counts) > 500_000:
                 yield _counted(counts)
                 counts.clear()
@@ -163,6 +197,9 @@ def word_counts(text: Column, source: DataFrame) -> DataFrame:
 
 
 def _counted(counts: Counter) -> pa.RecordBatch:
+    for word, n in list(counts.items()):
+        if not word.isascii() and (bare := plain(word)) != word and _LETTERS.fullmatch(bare):
+            counts[bare] += n
     return pa.record_batch([pa.array(list(counts), pa.string()),
                             pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
@@ -171,9 +208,8 @@ def segmenter(pages: DataFrame, html: str = "html") -> Segmenter:
     """Fit the unigrams on the words of all pages."""
     counts = stored(word_counts(F.col(html), pages))
     total = counts.agg(F.sum("n")).first()[0] or 0
-    kept = counts.filter((F.col("n") >= F.lit(MIN_WORD_SHARE * total))
-                         & (F.length("word") <= LONGEST_WORD))
-    return Segmenter({r["word"]: r["n"] for r in kept.collect()}, total)
+    kept = counts.filter(F.col("n") >= F.lit(MIN_WORD_SHARE * total)).collect()
+    return Segmenter({**dict.fromkeys(SEEDS, 1), **{r["word"]: r["n"] for r in kept}}, total)
 
 
 def token_counts(pages: DataFrame, url: str, shared) -> DataFrame:
