@@ -1,5 +1,6 @@
 """Quality classifier and language identification: held-out accuracy and edge cases."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,7 +70,8 @@ def test_rows_of_the_held_out_part_teach_nothing(spark, docs):
         "doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
     flipped = labels.withColumn("quality", F.when(held_out("doc_id"), 1 - F.col("quality"))
                                 .otherwise(F.col("quality")))
-    assert quality.training_sample(docs, labels) == quality.training_sample(docs, flipped)
+    (a, shares), (b, flipped_shares) = map(quality.training_sample, (labels, flipped))
+    assert sorted(a.collect()) == sorted(b.collect()) and shares == flipped_shares
     changed = docs.withColumn("lang", F.when(held_out("doc_id"), "zz").otherwise(F.col("lang")))
     assert language.learn(docs).samples == language.learn(changed).samples
 
@@ -104,3 +106,57 @@ def test_languages_of_long_texts_are_learned(spark):
 def test_shared_out():
     assert language.shared_out([b"a" * 50, b"b" * 3, b"c" * 40], 33) == [b"a" * 14, b"b" * 3, b"c" * 13]
     assert language.shared_out([], 9) == []
+
+
+def plain_vectors(texts):
+    """Vocabulary and neighbour sums, token by token."""
+    tokens = [quality._TOKEN.findall(t or "") for t in texts]
+    counts = {}
+    for t in [t for ts in tokens for t in ts]:
+        counts[t] = counts.get(t, 0) + 1
+    least = max(quality.MIN_COUNT, quality.MIN_SHARE * sum(counts.values()))
+    names = quality.SHAPES + sorted(t for t, n in counts.items() if n >= least)
+    row = {t: i for i, t in enumerate(names)}
+    index = np.zeros((len(names), quality.DIMENSIONS))
+    for i, t in enumerate(names):
+        places, signs = quality.index_entries(t)
+        index[i, places] = signs
+    sums = index.copy()
+    for ts in tokens:
+        ids = [row[t] if t in row else row[quality.shape(t)] for t in ts]
+        for i, a in enumerate(ids):
+            for j in range(max(0, i - quality.REACH), min(len(ids), i + quality.REACH + 1)):
+                if i != j:
+                    sums[a] += index[ids[j]]
+    return row, sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
+
+
+def test_word_vectors_are_those_of_all_texts(spark, docs, rows, no_docs, monkeypatch):
+    row, vectors = plain_vectors([r[1] for r in rows])
+    for block in (64, 2):  # of 2: several rounds of adding
+        monkeypatch.setattr(quality, "BLOCK", block)
+        got_row, got = quality.word_vectors(docs)
+        assert got_row == row and np.allclose(got, vectors, atol=1e-5)
+    assert quality.word_vectors(no_docs)[0] == {s: i for i, s in enumerate(quality.SHAPES)}
+
+
+def test_words_outside_the_sample_have_vectors(spark):
+    """Statistics cover the corpus: half of its words occur in no labelled text."""
+    texts = [("alpha beta gamma delta " if i % 2 else "zulu yankee xray whisky ") * 20
+             for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 30), 0) for i in range(1, 60, 2)],
+                                   "doc_id long, quality int, toxic int")
+    model = quality.fitted(spark, docs, labels).value
+    assert {"alpha", "zulu", "yankee", "xray", "whisky"} <= set(model.vocabulary)
+
+
+def test_long_texts_are_read_whole(monkeypatch):
+    text = "ab cd !! ab  ab " * 50 + "x" * 40
+    model = quality.Model({s: i for i, s in enumerate(quality.SHAPES)},
+                          np.eye(len(quality.SHAPES), 64, dtype=np.float32), np.zeros(1),
+                          np.ones(1), (), 1.0)
+    whole = model.pooled([text, "", " "])
+    monkeypatch.setattr(quality, "PIECE", 13)
+    assert [t for ts in quality.token_lists(text) for t in ts] == quality._TOKEN.findall(text)
+    assert np.allclose(model.pooled([text, "", " "]), whole)
