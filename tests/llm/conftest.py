@@ -45,5 +45,6 @@ def no_docs(spark):
 def odd_docs(docs):
     """The documents with more columns, whose names operators might use themselves."""
     from pyspark.sql import functions as F
-    names = ["fp", "part", "blob", "bucket", "shard", "spans", "score", "id", "a", "b", "n", "t"]
+    names = ["fp", "part", "blob", "bucket", "shard", "spans", "score", "id", "a", "b", "n", "t",
+             "__hash", "__text_hash", "__score", "__id", "row_hash", "Text_Hash", "hash", "first"]
     return docs.withColumns({n: F.lit(i) for i, n in enumerate(names)})

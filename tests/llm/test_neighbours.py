@@ -73,3 +73,18 @@ def test_bounds_hold():
     qy, sy, ly, ry = N.quantised(y)
     near = (qx.astype(int) @ qy.T.astype(int)) * sx[:, None] * sy
     assert (np.abs(near - x @ y.T) <= lx[:, None] * ry + rx[:, None] * (ly + ry)).all()
+
+
+def test_products_that_overflow_are_results(spark):
+    """Finite double vectors whose lengths, and products, are beyond double precision."""
+    rng = np.random.default_rng(8)
+    rows = [(i, (rng.random(8) * s).tolist()) for i, s in enumerate([1.0, 1e200, 1e150, 1e-200] * 20)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    want = set()
+    for q, x in rows:
+        if q % 20 in (0, 1):
+            score = {i: product(x, y) for i, y in rows if i != q}
+            best = sorted(score, key=lambda i: (-score[i], i))[:5]
+            want |= {(q, r + 1, i, score[i]) for r, i in enumerate(best)}
+    got = N.nearest(df, F.col("vec_id") % 20 < 2, k=5)
+    assert {tuple(r) for r in got.collect()} == want

@@ -95,3 +95,15 @@ def test_one_row_of_each(docs, rows):
     want = {c for _, _, c in components([r[:2] for r in rows])}
     got = [r["doc_id"] for r in kept.collect()]
     assert sorted(got) == sorted(want)
+
+
+def test_kept_rows_are_as_they_were(odd_docs, docs):
+    """Columns with the names of internal ones, and a map, come back with their values."""
+    named = odd_docs.withColumn("tags", F.create_map(F.lit("k"), F.col("doc_id")))
+    kept = S.one_of_each(named)
+    assert kept.columns == named.columns
+    before = {str(r) for r in named.collect()}
+    after = [str(r) for r in kept.collect()]
+    assert set(after) <= before
+    assert len(after) == S.one_of_each(docs).count()
+    assert all(r["__hash"] == 12 and r["row_hash"] == 16 for r in kept.collect())

@@ -52,6 +52,24 @@ def held_out(doc_id: str | Column) -> Column:
     return F.coalesce(part == HELD_OUT_PART, F.lit(False))
 
 
+def free_name(base: str, *frames: DataFrame) -> str:
+    """A column name that none of the frames has, whatever the case of its letters."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
+def hash_of_row(df: DataFrame) -> Column:
+    """A hash of all columns of a row; maps and variants, which have no hash of their own, by
+    their JSON text."""
+    def hashable(f) -> Column:
+        c, kind = F.col(f"`{f.name}`"), f.dataType.simpleString()
+        return F.to_json(F.struct(c)) if "map<" in kind or "variant" in kind else c
+
+    return F.xxhash64(*map(hashable, df.schema.fields))
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The rows written to the shared folder of `spark.checkpoint.dir` and read back:
     lineage ends there, and the data outlives any executor."""

@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, table, utf8
+from tidemark.llm.common import free_name, stored, table, utf8
 
 WINDOW = 10
 SLOP = 3
@@ -281,11 +281,11 @@ def clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
           ) -> DataFrame:
     """`docs` without the documents in which a window of the benchmark occurs."""
     hit = (matches(docs, benchmark, doc_id, text).filter(F.size("items") > 0)
-           .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct())
-    hashed = docs.withColumn("__text_hash", F.xxhash64(text))
-    same = (hashed[doc_id].cast("long").eqNullSafe(hit["__id"])
-            & (hashed["__text_hash"] == hit["__hash"]))
-    return hashed.join(hit, same, "left_anti").select(*docs.columns)
+           .select("doc_id", "text_hash").distinct())
+    mark = free_name("text_hash", docs, hit)
+    hashed = docs.withColumn(mark, F.xxhash64(text))
+    same = hashed[doc_id].cast("long").eqNullSafe(hit["doc_id"]) & (hashed[mark] == hit["text_hash"])
+    return hashed.join(hit, same, "left_anti").drop(mark)
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

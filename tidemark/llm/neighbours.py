@@ -92,16 +92,20 @@ def tile(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: n
     out = []
     for i in range(0, len(queries), PIECE):
         part = slice(i, i + PIECE)
-        near = (qx[part].astype(kind) @ right) * sx[part, None] * sy
-        error = lx[part, None] * ry + rx[part, None] * whole
-        error += (lx + rx)[part, None] * whole * ROUNDING
+        with np.errstate(over="ignore", invalid="ignore"):
+            near = (qx[part].astype(kind) @ right) * sx[part, None] * sy
+            error = lx[part, None] * ry + rx[part, None] * whole
+            error += (lx + rx)[part, None] * whole * ROUNDING
+            low, high = near - error, near + error
+        # where lengths overflow nothing is known of the product: it is computed
+        low, high = np.where(np.isnan(low), -np.inf, low), np.where(np.isnan(high), np.inf, high)
         own = query_ids[part, None] == ids
-        low = np.where(own, -np.inf, near - error)
+        low = np.where(own, -np.inf, low)
         if low.shape[1] > k:
             least = np.partition(low, low.shape[1] - k, axis=1)[:, -k]
         else:
             least = np.full(len(low), -np.inf)
-        row, col = np.nonzero((near + error >= least[:, None]) & ~own)
+        row, col = np.nonzero((high >= least[:, None]) & ~own)
         score = np.concatenate([np.empty(0), *(
             exact_products(queries[i + row[a:a + PAIRS]], vectors[col[a:a + PAIRS]])
             for a in range(0, len(row), PAIRS))])

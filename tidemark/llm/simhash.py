@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import importable, stored, table, utf8
+from tidemark.llm.common import free_name, hash_of_row, importable, stored, table, utf8
 from tidemark.llm.components import components
 
 SHINGLE = 3
@@ -251,14 +251,14 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     come last), among rows of one id that of the smallest hash of all its columns."""
     importable(docs.sparkSession)
     row = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"),
-                   F.xxhash64(*docs.columns).alias("hash"))
+                   hash_of_row(docs).alias("hash"))
     marked = stored(docs.select(row.alias("row"), fingerprint(text, shingle).alias("fp")))
     kept = (by_component(marked, marked.groupBy("fp").agg(F.min("row").alias("first")), distance)
-            .select(F.col("first.id").alias("__id"), F.col("first.hash").alias("__hash")).distinct())
-    hashed = docs.withColumn("__hash", F.xxhash64(*docs.columns))
-    same = hashed[doc_id].eqNullSafe(kept["__id"]) & (hashed["__hash"] == kept["__hash"])
-    return (hashed.join(kept, same, "left_semi").dropDuplicates([doc_id, "__hash"])
-            .select(*docs.columns))
+            .select(F.col("first.id").alias("id"), F.col("first.hash").alias("hash")).distinct())
+    mark = free_name("row_hash", docs)
+    hashed = docs.withColumn(mark, hash_of_row(docs))
+    same = hashed[doc_id].eqNullSafe(kept["id"]) & (hashed[mark] == kept["hash"])
+    return hashed.join(kept, same, "left_semi").dropDuplicates([doc_id, mark]).drop(mark)
 
 
 def hexadecimal(fp: Column) -> Column:
