@@ -80,6 +80,63 @@ def test_tagger_learns_the_spans(spark, shared):
     assert total > 100 and hit > 0.8 * total and wrong < 0.1 * total, (hit, wrong, total)
 
 
+def test_added_spans_of_held_out_variants(spark, shared):
+    """Variants of spans of documents that the tagger was not trained on: what it adds to the
+    base spans is right, and it adds next to nothing to the documents as they are."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("doc_id >= 5000")
+    rng = random.Random(99)
+    texts, want = [], []
+    for r in pii.labelled_windows(docs).filter("kind <> 'none'").distinct().collect():
+        made = pii.variant_of(r["window"], np.frombuffer(r["tags"], np.uint8), rng)
+        if made:
+            before = "on the nation " * rng.randrange(8)
+            texts.append(before + made[0] + " ing er the")
+            kind, a, b = made[2]
+            want.append((kind, a + len(before), b + len(before)))
+    base = [pii.base_spans(t) for t in texts]
+    got = pii.added_spans(texts, base, shared.value)
+    def same(w, g):  # of the kind, and all but a few characters of it
+        return w[0] == g[0] and min(w[2], g[2]) - max(w[1], g[1]) > 0.7 * (max(w[2], g[2]) - min(w[1], g[1]))
+
+    right = sum(any(same(w, x) for x in g) for w, g in zip(want, got))
+    exact = sum(w in g for w, g in zip(want, got))
+    added = sum(map(len, got))
+    assert len(texts) > 300
+    assert right / len(texts) >= 0.9 and right / added >= 0.95, (right, added, len(texts))
+    assert exact / len(texts) >= 0.85, (exact, len(texts))
+    rows = [r["text"] for r in docs.select("text").collect()]
+    base = [pii.base_spans(t) for t in rows]
+    extra = sum(map(len, pii.added_spans(rows, base, shared.value)))
+    assert extra <= 0.03 * sum(map(len, base)), extra
+
+
+def test_what_the_patterns_do_not_cover(shared):
+    for text, kind in (("or jane.doe [at] example [dot] org if you like", "email"),
+                       ("the host is １０.２０.３.４ in the rack", "ip"),
+                       ("call +٣٣ (٣٧٧) ٥٥٥-٠٢٧١ now", "phone")):
+        assert not pii.base_spans(text)
+        found = pii.added_spans([text], [[]], shared.value)[0]
+        assert [pii.KINDS[k] for k, _, _ in found] == [kind], (text, found)
+
+
+def test_variants_keep_their_labels():
+    rng = random.Random(4)
+    text = "you can write me@mail.example.com or call +1 (377) 555-0271 or 10.0.0.1 at noon"
+    tags = pii.tags_of(pii.base_spans(text), 0, len(text))
+    seen = set()
+    for _ in range(300):
+        made = pii.variant_of(text, tags, rng)
+        if made:
+            window, marked, (kind, a, b) = made
+            assert len(window) == len(marked) <= pii.WINDOW
+            assert marked[a] == 1 + 2 * kind and (marked[a + 1:b] == 2 + 2 * kind).all()
+            assert not any(x < b and y > a for _, x, y in pii.base_spans(window))
+            seen.add(kind)
+    assert seen == {0, 1, 3}
+    plain, marked, span = pii.variant_of("nothing here", np.zeros(12, np.int64), rng)
+    assert span is None and not marked.any() and len(plain) == len(marked)
+
+
 def test_report_and_redaction(docs, rows, no_docs, shared):
     found = docs.select("text", pii.report(F.col("text"), shared).alias("r"),
                         pii.redacted(F.col("text"), shared).alias("masked")).collect()

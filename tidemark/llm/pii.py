@@ -1,20 +1,22 @@
 """Personal data: exact patterns, and a character BiLSTM-CRF that adds to them.
 
 Base spans come from patterns with checks (octets up to 255, Luhn, digit counts). A
-tagger (`tagger.Tagger`), trained in numpy on windows whose labels are the base spans,
-reads every text in overlapping windows. Each window is decoded by itself. A span that
+tagger (`tagger.Tagger`), trained in numpy on windows whose labels are the base spans and on
+variants of these spans that the patterns do not cover (`variants`: `at` and `dot` spelled
+out, other separators, digits of other scripts), reads every text in overlapping windows. Each window is decoded by itself. A span that
 touches an inner edge of its window is cut: it is joined with the next window's span of the
 same kind that is cut where this one goes on, and so forth, until an end is seen; windows
 that such a span runs into are decoded too. Of all windows' spans of a text, the set of disjoint ones with the greatest total probability is
 kept, next to the base spans, which always stay.
 
-A span must hold a digit or an `@` (there is no such thing among the four kinds without
-one), so windows without either are not decoded unless a cut span runs into them; none is skipped for
-any other reason.
+Windows are decoded if they hold a signal: a digit of any script, an `@` (also full width), a
+bracketed `at` or `dot`, the word `dot`, or `at` before a name with a dot inside; and those
+that a cut span runs into. Without a signal no window is decoded, and a span must hold one: a
+spelled-out address whose host has no dot is not found.
 
 The fit uses a bounded sample: of about `FIT_DOCUMENTS` documents, chosen by a hash of the
-id, for each kind, and for windows without a span, at most `PER_KIND` windows of `WINDOW`
-characters, those with the smallest hashes.
+id, for each kind, and for windows without a span, at most `PER_KIND` different windows of
+`WINDOW` characters, those with the smallest hashes; each is followed by `VARIANTS` variants.
 
 Edge cases: null and empty texts have no spans; offsets count code points; without any
 labelled window only base spans are found; repeated rows get equal results.
@@ -23,6 +25,7 @@ labelled window only base spans are found; repeated rows get equal results.
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections.abc import Iterator
 
@@ -34,14 +37,16 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import filled, hash_share, importable, smallest, table
 from tidemark.llm.tagger import Tagger, char_ids
+from tidemark.llm.variants import lookalike, varied
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW = 80
 STRIDE = 40
 FIT_DOCUMENTS = 50_000
 PER_KIND = 350
-STEPS = 350  # training batches
-SURE = 0.98  # least mean probability of a span's tags
+VARIANTS = 4  # of each sampled window
+STEPS = 600  # training batches
+SURE = 0.95  # least mean probability of a span's tags
 DECODED = 512  # windows in a batch
 
 # The patterns. A number can only begin where no digit stands before it.
@@ -49,7 +54,7 @@ _EMAIL_HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_SIGNAL = re.compile(r"[0-9@]")
+_SIGNAL = re.compile(r"[\d@＠]|\bdot\b|[(\[{] ?(?:at|dot) ?[)\]}]|\bat [\w-]+[.．]\w", re.IGNORECASE)
 _NAME_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 Span = tuple[int, int, int]  # kind, start, end
@@ -100,7 +105,7 @@ def base_spans(text: str) -> list[Span]:
 
 # ------------------------------------------------------------ windows
 def windows_of(text: str) -> list[int]:
-    """Starts of the windows that hold a digit or an `@`."""
+    """Starts of the windows in which a signal begins."""
     last = max(0, (len(text) - WINDOW + STRIDE - 1) // STRIDE) * STRIDE
     starts: set[int] = set()
     for m in _SIGNAL.finditer(text):
@@ -237,9 +242,49 @@ def added_spans(texts: list[str], base: list[list[Span]], tagger: Tagger) -> lis
 
 
 # ------------------------------------------------------------ fit
+def variant_of(window: str, tags: np.ndarray, rng: random.Random
+               ) -> tuple[str, np.ndarray, Span | None] | None:
+    """The window with one of its whole spans rewritten, or with something that looks alike
+    put in where it has no span; its tags, and the rewritten span. None if the patterns cover
+    the variant after all, or it does not fit the window."""
+    spans = [(k, a, b) for k, a, b, _ in _tag_runs(tags, np.ones(len(tags)))]
+    whole = [s for s in spans if tags[s[1]] == 1 + 2 * s[0] and s[2] < len(window)]
+    if not spans:
+        at = rng.randrange(len(window) + 1)
+        kind, a, b, new = None, at, at, lookalike(rng)
+    elif whole:
+        kind, a, b = rng.choice(whole)
+        new = varied(KINDS[kind], window[a:b], rng)
+    else:
+        return None
+    text = window[:a] + new + window[b:]
+    inside = tags_of([] if kind is None else [(kind, 0, len(new))], 0, len(new))
+    marked = np.concatenate([tags[:a], inside, tags[b:]])
+    end = a + len(new)
+    first = max(0, min(a - 5, end + 10 - WINDOW)) if len(text) > WINDOW else 0
+    base = base_spans(text)
+    if end - first > WINDOW or any(x < end and y > a for _, x, y in base):
+        return None
+    span = None if kind is None else (kind, a - first, end - first)
+    return text[first:first + WINDOW], marked[first:first + WINDOW], span
+
+
+def with_variants(rows: list[tuple[str, np.ndarray]], each: int = VARIANTS, seed: int = 5
+                  ) -> list[tuple[str, np.ndarray]]:
+    """The windows, twice, and up to `each` variants of every one."""
+    rng = random.Random(seed)
+    out = [*rows, *rows]
+    for window, tags in rows:
+        for _ in range(each):
+            made = variant_of(window, tags, rng)
+            if made:
+                out.append(made[:2])
+    return out
+
+
 def labelled_windows(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(kind, window, tags) of all windows with a digit or an `@`; kind is that of the first
-    span that begins there, or 'none'."""
+    """(kind, window, tags) of all windows with a signal; kind is that of the first span that
+    begins there, or 'none'."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kinds, windows, tags = [], [], []
@@ -263,14 +308,20 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per_kind: i
         ) -> Tagger | None:
     """A tagger trained on the bounded sample, or None without windows."""
     few = docs.filter(hash_share(doc_id) < FIT_DOCUMENTS / max(1, docs.count()))
-    hashed = labelled_windows(few, text).withColumn("hash", F.xxhash64("window"))
+    hashed = labelled_windows(few, text).distinct().withColumn("hash", F.xxhash64("window"))
     order = ["hash", "window", "tags"]
     rows = smallest(hashed, per_kind, ["kind"], order).orderBy("kind", *order).collect()
     if not rows:
         return None
+    return trained([(r["window"], np.frombuffer(r["tags"], np.uint8)) for r in rows])
+
+
+def trained(rows: list[tuple[str, np.ndarray]], steps: int = STEPS) -> Tagger:
+    """A tagger of labelled windows and their variants."""
+    rows = with_variants(rows)
     tagger = Tagger(1 + 2 * len(KINDS))
-    tagger.train(_padded([char_ids(r["window"]) for r in rows], np.int16),
-                 _padded([np.frombuffer(r["tags"], np.uint8) for r in rows], np.int64), STEPS)
+    tagger.train(_padded([char_ids(w) for w, _ in rows], np.int16),
+                 _padded([t for _, t in rows], np.int64), steps)
     return tagger
 
 
