@@ -319,7 +319,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per_kind: i
 def trained(rows: list[tuple[str, np.ndarray]], steps: int = STEPS) -> Tagger:
     """A tagger of labelled windows and their variants."""
     rows = with_variants(rows)
-    tagger = Tagger(1 + 2 * len(KINDS))
+    tagger = Tagger(1 + 2 * len(KINDS), precision=np.float32)
     tagger.train(_padded([char_ids(w) for w, _ in rows], np.int16),
                  _padded([t for _, t in rows], np.int64), steps)
     return tagger
