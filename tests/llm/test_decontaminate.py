@@ -1,5 +1,7 @@
 import random
+import time
 
+import numpy as np
 import pytest
 from .plain import benchmark_hits
 
@@ -67,3 +69,37 @@ def test_long_windows(docs, rows, items, bench):
     from .plain import benchmark_hits as hits
     want = sorted(hits([r[:2] for r in rows], items, 70), key=str)
     assert result(docs, bench, window=70) == want
+
+
+def test_windows_are_looked_up_by_terms():
+    """All windows whose terms are present, and no others; items of equal windows together."""
+    rng = random.Random(8)
+    items = [(str(i), " ".join(rng.choice("abcdefghijkl") for _ in range(rng.randint(0, 9))).encode())
+             for i in range(300)]
+    block = D.Block([*items, items[0]], 4, 1)
+    for held in ("", "a", "abc", "abcdefgh", "abcdefghijkl"):
+        want = {}
+        for i, text in items:
+            w = tuple(text.split())
+            for p in range(max(1, len(w) - 3) if w else 0):
+                if all(x.decode() in held for x in w[p:p + 4]):
+                    want.setdefault(tuple(block.term[x] for x in w[p:p + 4]), set()).add(i)
+        terms = np.array([block.term[c.encode()] for c in held], np.int64)
+        got = list(block.possible(terms))
+        assert len(got) == len(want)
+        assert {w: set(h) for w, h in got} == want
+        assert all(h == sorted(set(h)) for _, h in got)
+
+
+def test_windows_that_do_not_occur_cost_nothing():
+    rng = np.random.default_rng(2)
+    words = rng.integers(0, 1 << 20, 1_000_009)
+    block = D.Block([("far", " ".join(f"w{x}" for x in words.tolist()).encode()),
+                     ("near", b"one two three four five six seven eight nine ten")], 10, 3)
+    assert sum(len(w.rows) for w in block.windows) == 1_000_001
+    terms = np.array(sorted({block.term[w] for w in b"one two three four five six seven eight nine ten"
+                             .split()} | set(range(0, len(block.term), 1000))), np.int64)
+    start = time.process_time()
+    for _ in range(20):
+        assert [h for _, h in block.possible(terms)] == [["near"]]
+    assert time.process_time() - start < 4

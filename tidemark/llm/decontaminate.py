@@ -3,9 +3,11 @@
 The index is document-partitioned: each task cuts its documents into shards of bounded
 size, numbers the words of a shard from zero with a gap between documents, and stores one
 row per shard: its documents, and for every benchmark term in it the sorted positions at
-which the term occurs (delta coded, compressed). A search reads a shard's lists, starts every window at its
-rarest term in that shard and keeps the starts that the lists of the other terms,
-adjusted by their offsets, confirm:
+which the term occurs (delta coded, compressed). A search reads a shard's lists and looks up
+windows by the terms that the shard holds (each window is filed under the term that the
+fewest windows have), so that windows of other terms cost nothing. A window whose terms are
+all there starts at its rarest term in that shard; the starts that the lists of the other
+terms, adjusted by their offsets, confirm are kept:
 
 * exact phrase match: every word of the window at its own offset;
 * proximity match: the first word at its place, every other word at most `slop` places
@@ -47,6 +49,32 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(_FOLD).split() if text else []
 
 
+class Windows:
+    """Distinct windows of one length as rows of term ids, with the items that hold each, found
+    by the term that the fewest windows have."""
+
+    def __init__(self, rows: np.ndarray, items: np.ndarray, n_terms: int):
+        whole = np.ascontiguousarray(rows).view(np.dtype((np.void, rows.itemsize * rows.shape[1])))
+        _, first, number = np.unique(whole.ravel(), return_index=True, return_inverse=True)
+        self.rows = rows[first]
+        held = np.unique(np.stack([number.ravel(), items], axis=1), axis=0)
+        self.items = held[:, 1]
+        self.held = np.searchsorted(held[:, 0], np.arange(len(first) + 1))
+        spread = np.bincount(self.rows.ravel(), minlength=n_terms)
+        rarest = spread[self.rows].argmin(axis=1)
+        key = self.rows[np.arange(len(first)), rarest]
+        self.of_key = np.argsort(key, kind="stable").astype(np.int32)
+        self.keys = np.searchsorted(key[self.of_key], np.arange(n_terms + 1))
+
+    def possible(self, terms: np.ndarray, present: np.ndarray) -> list[int]:
+        """Windows all of whose terms are among `terms`; `present` marks those."""
+        begin, size = self.keys[terms], np.diff(self.keys)[terms]
+        ends = np.cumsum(size)
+        looked = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - (ends - size), size)
+        found = self.of_key[looked]
+        return found[present[self.rows[found]].all(axis=1)].tolist()
+
+
 class Block:
     """Windows of some benchmark items: term ids, and the items that hold each window.
     `gap` positions between documents keep any match, exact or near, inside one document."""
@@ -54,12 +82,29 @@ class Block:
     def __init__(self, items: list[tuple[str, bytes]], window: int, slop: int):
         self.slop, self.gap = slop, window + slop + 1
         self.term: dict[bytes, int] = {}
-        holders: dict[tuple[int, ...], set[str]] = {}
+        self.names = sorted({item_id for item_id, _ in items})
+        number = {item_id: i for i, item_id in enumerate(self.names)}
+        found: dict[int, list[tuple[int, np.ndarray]]] = {}
         for item_id, text in items:
             ids = [self.term.setdefault(w, len(self.term)) for w in words_of(text)]
-            for i in range(max(1, len(ids) - window + 1) if ids else 0):
-                holders.setdefault(tuple(ids[i:i + window]), set()).add(item_id)
-        self.windows = [(w, sorted(h)) for w, h in holders.items()]
+            if ids:
+                length = min(window, len(ids))
+                rows = np.lib.stride_tricks.sliding_window_view(np.array(ids, np.int32), length)
+                found.setdefault(length, []).append((number[item_id], rows))
+        self.windows = [
+            Windows(np.concatenate([rows for _, rows in parts]),
+                    np.repeat([i for i, _ in parts], [len(rows) for _, rows in parts]),
+                    len(self.term))
+            for _, parts in sorted(found.items())]
+
+    def possible(self, terms: np.ndarray) -> Iterator[tuple[tuple[int, ...], list[str]]]:
+        """(window, ids of its items) of the windows whose terms are all among `terms`."""
+        present = np.zeros(len(self.term), bool)
+        present[terms] = True
+        for w in self.windows:
+            for i in w.possible(terms, present):
+                yield (tuple(w.rows[i].tolist()),
+                       [self.names[k] for k in w.items[w.held[i]:w.held[i + 1]].tolist()])
 
 
 # ---------------------------------------------------------------- index
@@ -172,7 +217,8 @@ def search(index: DataFrame, block) -> DataFrame:
         hits: dict[int, list[np.ndarray]] = {}
         items: dict[int, set[str]] = {}
         almost: dict[int, set[str]] = {}
-        for window, holders in block.value.windows:
+        terms = np.fromiter(lists, np.int64, len(lists))
+        for window, holders in block.value.possible(terms):
             close, exact = _starts(window, lists, block.value.slop)
             for d in np.unique(np.searchsorted(ends, close, "right")).tolist():
                 almost.setdefault(d, set()).update(holders)
